@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The campaign pipeline is a daily batch: its only incremental behaviour is
+the dated id registry (``offerline.operators.registry``), which a re-run of
+the same day leaves unchanged. There is no stream source, watermark or
+stateful operator to provide.
+"""
