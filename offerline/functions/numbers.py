@@ -122,8 +122,9 @@ def number_text(c) -> Column:
 
 
 def fixed_decimals(c, digits: int = 4) -> Column:
-    """'{:.4f}' text of a float."""
-    return F.format_string(f"%.{digits}f", _c(c))
+    """'{:.4f}' text of a float; NULL stays NULL."""
+    c = _c(c)
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", c))
 
 
 def opportunity_id(run_date: Column, number: Column) -> Column:
