@@ -33,11 +33,18 @@ def prepare_base(base: DataFrame, insights: DataFrame, hot_contacts: DataFrame,
     return assign_channels(campaign_base(with_phones, weekday_headers))
 
 
+# Ties on price are broken by the code, the client name, then the offer's own
+# fields: rows equal in all of them give the same load, so the full base rows
+# (64 columns) never have to travel through the arg-min shuffle.
+OFFER_TIE_KEYS = (S.CODE, S.CLIENT_NAME, S.PRICE, S.SLA, S.DELIVERY_MODE, S.TERM, S.BASE, S.ADDRESS)
+
+
 def fold_campaign(campaign: DataFrame, mode: str = "aligned", phone_policy: str = "first",
                   channels=None, n: int = 3) -> DataFrame:
     """Cheapest offer per (group, company, product, phone), folded per client."""
     rows = campaign if channels is None else campaign.filter(F.col(S.CHANNEL).isin(list(channels)))
-    cheapest = with_address(cheapest_offer(rows))
+    rows = with_address(rows).select(*S.OFFER_KEYS, S.LIMIT_PRICE, *OFFER_TIE_KEYS)
+    cheapest = cheapest_offer(rows, tie_keys=OFFER_TIE_KEYS)
     return fold_offers(cheapest, mode=mode, phone_policy=phone_policy, n=n)
 
 

@@ -106,11 +106,13 @@ campaign AS (SELECT * REPLACE (CASE WHEN canal = 'WhatsApp' THEN CASE WHEN fone_
   THEN 'DIS' ELSE 'WhatsApp' END ELSE canal END AS canal) FROM projected)"""
 
 
-def cheapest_cte(src: str, names, name: str = "cheap", drop=()) -> str:
+def cheapest_cte(src: str, names, name: str = "cheap", drop=(), tie_keys=None) -> str:
     keys = ["grupo_cliente", "cnpj_basico", "vedi_dsc_mat", "fone_1"]
     price = "novo_preco_final_limite"
     first = ["vedi_cod_cli", "nome_cliente"]
     rest = [c for c in names if c not in keys and c != price and c not in first]
+    if tie_keys is not None:
+        first, rest = list(tie_keys), []
     order = ", ".join(f"{c} ASC NULLS FIRST" for c in [price] + first + rest)
     keep = ", ".join(c for c in names if c not in drop)
     return (f"{name} AS (SELECT {keep} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(keys)} "
@@ -214,9 +216,15 @@ OFFER_SRC = ("SELECT nome_cliente AS name, grupo_cliente AS grp, cnpj_basico AS
 ADDRESS_PARTS = ("cep", "bairro", "rua", "num", "complemento", "clie_nom_municipio", "clie_nom_estado")
 
 
+MESSAGE_TIE_KEYS = ("vedi_cod_cli", "nome_cliente", "novo_preco_final_r_l", "sla_de_entrega", "vedi_dsc_ict",
+                    "dias_de_prazo", "base", "endereco")
+
+
 def message_load_sql(mode: str = "aligned") -> str:
-    src = OFFER_SRC.format(addr=address(ADDRESS_PARTS), src="cheap")
-    return (f"WITH {campaign_ctes()},\n{cheapest_cte('campaign', CAMPAIGN_NAMES, drop=CONTACTS)},\n"
+    src = OFFER_SRC.format(addr="endereco", src="cheap")
+    addressed = f"addressed AS (SELECT *, {address(ADDRESS_PARTS)} AS endereco FROM campaign)"
+    return (f"WITH {campaign_ctes()},\n{addressed},\n"
+            f"{cheapest_cte('addressed', CAMPAIGN_NAMES + ['endereco'], drop=CONTACTS, tie_keys=MESSAGE_TIE_KEYS)},\n"
             f"src AS ({src}),\n{fold_ctes('src', mode)},\n"
             f"msg AS (SELECT {message_select(mode)} FROM wide)\n")
 

@@ -51,7 +51,7 @@ def query(fn):
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return standin.table(spark, sf_dir, table)
 
 
 def _scratch(spark: SparkSession, name: str) -> str:

@@ -15,9 +15,12 @@ uses its registered views.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from offerline import schemas as S
+from offerline.sources.io import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
@@ -25,15 +28,33 @@ RUN_DATE = "2024-04-25"
 PREVIOUS_DATE = "2024-04-24"
 
 
-def spark_refs(sf_dir: str) -> dict[str, str]:
-    return {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
+# Row-heavy tables are spread over the cores when they arrive as one file.
+SPREAD_TABLES = ("lineitem", "orders", "documents", "events")
+
+
+def spark_refs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Temp views of the driver tables of ``sf_dir`` (names unique per folder)."""
+    tag = "ol_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    refs = {}
+    for t in TABLES:
+        name = f"{tag}_{t}"
+        if not spark.catalog.tableExists(name):
+            df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+            (spread(df) if t in SPREAD_TABLES else df).createOrReplaceTempView(name)
+        refs[t] = name
+    return refs
 
 
 DUCKDB_REFS = {t: t for t in TABLES}
 
 
 def sql(spark: SparkSession, template: str, sf_dir: str) -> DataFrame:
-    return spark.sql(template.format(**spark_refs(sf_dir)))
+    return spark.sql(template.format(**spark_refs(spark, sf_dir)))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (spread over the cores when it is one small file)."""
+    return spark.table(spark_refs(spark, sf_dir)[name])
 
 
 # --- phone texts built from an integer key ----------------------------------

@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     """A local session for tests and the benchmark (UI off)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("OFFERLINE_DRIVER_MEMORY", "8g"))
                .config("spark.sql.legacy.javaCharsets", "true"))
