@@ -41,19 +41,27 @@ def find_phone(c, pattern: str = MOBILE_PATTERN) -> Column:
     return F.concat(F.lit(COUNTRY_CODE), digits_only(match))
 
 
+def country_group(pattern: str) -> str:
+    """The pattern with its leading optional country code made capture group 1."""
+    if not pattern.startswith("(?:"):
+        raise ValueError("pattern must start with the optional country-code group")
+    return "(" + pattern[3:]
+
+
 def find_phone_strict(c, pattern: str = MOBILE_PATTERN) -> Column:
-    """Strict variant: the match must not touch other digits and a matched
-    country code is not doubled."""
-    bounded = r"(?<!\d)(" + pattern + r")(?!\d)"
-    match = F.regexp_substr(_c(c), F.lit(bounded))
+    """Strict variant: the match must not touch other digits, and when the
+    country code was matched it is not prefixed a second time."""
+    bounded = r"(?<!\d)" + country_group(pattern) + r"(?!\d)"
+    c = _c(c)
+    match = F.regexp_substr(c, F.lit(bounded))
+    country = F.regexp_extract(c, bounded, 1)
     digits = digits_only(match)
-    has_country = match.rlike(r"^\+?55[ (]") | (match.startswith("+55"))
-    return F.when(has_country, digits).otherwise(F.concat(F.lit(COUNTRY_CODE), digits))
+    return F.when(country != "", digits).otherwise(F.concat(F.lit(COUNTRY_CODE), digits))
 
 
-def find_mobile(c, strict: bool = False) -> Column:
-    return (find_phone_strict if strict else find_phone)(c, MOBILE_PATTERN)
+def find_mobile(c, strict: bool = False, pattern: str = MOBILE_PATTERN) -> Column:
+    return (find_phone_strict if strict else find_phone)(c, pattern)
 
 
-def find_landline(c, strict: bool = False) -> Column:
-    return (find_phone_strict if strict else find_phone)(c, LANDLINE_PATTERN)
+def find_landline(c, strict: bool = False, pattern: str = LANDLINE_PATTERN) -> Column:
+    return (find_phone_strict if strict else find_phone)(c, pattern)

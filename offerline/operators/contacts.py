@@ -6,21 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerline import schemas as S
-from offerline.functions.channel import DIS, WHATSAPP, assign_channel
-from offerline.functions.phones import CONTACT_SEPARATOR, contact_text, find_landline, find_mobile
+from offerline.functions.channel import DIS, WHATSAPP, assign_channel, channel_from_mobile
+from offerline.functions.phones import (
+    CONTACT_SEPARATOR,
+    LANDLINE_PATTERN,
+    MOBILE_PATTERN,
+    contact_text,
+    find_landline,
+    find_mobile,
+)
 from offerline.operators.ingest import round_prices
 
 
 def normalize_contacts(df: DataFrame, always=(S.HOT_PHONE, S.WHATSAPP_PHONE), optional=S.CONTACT_COLUMNS,
                        strict: bool = False, sep: str = CONTACT_SEPARATOR,
-                       mobile: str = S.MOBILE, landline: str = S.LANDLINE) -> DataFrame:
+                       mobile: str = S.MOBILE, landline: str = S.LANDLINE,
+                       mobile_pattern: str = MOBILE_PATTERN, landline_pattern: str = LANDLINE_PATTERN) -> DataFrame:
     """Join every phone field into one text and extract one mobile and one
-    landline number from it (first match each, digits only, prefixed 55)."""
+    landline number from it (first match each, digits only, prefixed 55).
+    ``strict`` adds digit boundaries and does not double a matched 55; the
+    patterns are arguments (e.g. the stricter STRICT_MOBILE_BODY)."""
     text = contact_text([c for c in always if c in df.columns], [c for c in optional if c in df.columns], sep)
     out = df.withColumn(S.CONTACT_TEXT, text)
     return out.withColumns({
-        mobile: find_mobile(F.col(S.CONTACT_TEXT), strict),
-        landline: find_landline(F.col(S.CONTACT_TEXT), strict),
+        mobile: find_mobile(F.col(S.CONTACT_TEXT), strict, mobile_pattern),
+        landline: find_landline(F.col(S.CONTACT_TEXT), strict, landline_pattern),
     })
 
 
@@ -29,8 +39,15 @@ def campaign_base(df: DataFrame, weekday_headers=S.WEEKDAY_COLUMNS) -> DataFrame
     return round_prices(df.select(*S.base_columns(weekday_headers)))
 
 
-def assign_channels(df: DataFrame, channel: str = S.CHANNEL, mobile: str = S.MOBILE) -> DataFrame:
-    """WhatsApp rows without a mobile become DIS; other rows keep theirs."""
+def assign_channels(df: DataFrame, channel: str = S.CHANNEL, mobile: str = S.MOBILE,
+                    policy: str = "whatsapp_needs_mobile") -> DataFrame:
+    """Channel policy: ``whatsapp_needs_mobile`` (WhatsApp rows without a
+    mobile become DIS, other rows keep theirs) or ``mobile_is_whatsapp``
+    (every row with a mobile becomes WhatsApp)."""
+    if policy == "mobile_is_whatsapp":
+        return df.withColumn(channel, channel_from_mobile(channel, mobile))
+    if policy != "whatsapp_needs_mobile":
+        raise ValueError(f"unknown channel policy {policy!r}")
     return df.withColumn(channel, assign_channel(channel, mobile))
 
 

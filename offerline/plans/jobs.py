@@ -74,6 +74,7 @@ class CampaignPaths:
     board_loads: str
     registry: str
     mailing: str
+    debug: str | None = None
 
 
 def run_campaign(spark: SparkSession, paths: CampaignPaths, run_date, mode: str = "aligned",
@@ -89,6 +90,9 @@ def run_campaign(spark: SparkSession, paths: CampaignPaths, run_date, mode: str
     hot = read_input(spark, paths.hot_contacts, S.HOT_CONTACTS_SCHEMA)
     wpp = read_input(spark, paths.whatsapp_contacts, S.WHATSAPP_CONTACTS_SCHEMA)
     campaign = prepare_base(base, insights, hot, wpp, weekday_headers).checkpoint()
+    if paths.debug:  # intermediate frames for inspection
+        campaign.write.mode("overwrite").parquet(f"{paths.debug}/{run_date}/campaign")
+        fold_campaign(campaign, mode, phone_policy).write.mode("overwrite").parquet(f"{paths.debug}/{run_date}/folded")
 
     write_message_loads(message_job(campaign, mode, phone_policy), f"{paths.message_loads}/{run_date}")
     board_job(campaign).write.mode("overwrite").partitionBy("load").parquet(f"{paths.board_loads}/{run_date}")

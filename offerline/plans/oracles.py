@@ -424,4 +424,21 @@ def oracle_sql() -> dict[str, str]:
     q["mailing_two_days"] = (
         "SELECT o_orderkey, o_custkey, '2024-04-24' AS dt_mailing FROM orders WHERE o_orderkey % 2 = 0 UNION ALL "
         "SELECT o_orderkey, o_custkey, '2024-04-25' FROM orders WHERE o_orderkey % 5 = 0")
+    strict = {}
+    for kind, pattern in (("mobile", MOBILE_PATTERN), ("landline", LANDLINE_PATTERN)):
+        bounded = "(^|[^0-9])(" + "(" + pattern[3:] + ")([^0-9]|$)"
+        match = f"regexp_extract(text, '{bounded}', 2)"
+        country = f"regexp_extract(text, '{bounded}', 3)"
+        digits = f"regexp_replace({match}, '\\D', '', 'g')"
+        strict[kind] = (f"CASE WHEN regexp_matches(text, '{bounded}') THEN CASE WHEN {country} <> '' THEN {digits} "
+                        f"ELSE '55' || {digits} END END")
+    q["phones_strict"] = f"SELECT doc_id, {strict['mobile']} AS mobile, {strict['landline']} AS landline FROM documents"
+    q["null_columns"] = (
+        "SELECT bool_or(c_custkey IS NULL) AS c_custkey, bool_or(c_name IS NULL) AS c_name, "
+        "bool_or(c_acctbal IS NULL) AS c_acctbal, bool_or(o_orderkey IS NULL) AS o_orderkey, "
+        "bool_or(o_totalprice IS NULL) AS o_totalprice, bool_or(o_orderdate IS NULL) AS o_orderdate "
+        "FROM customer c LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') o "
+        "ON c.c_custkey = o.o_custkey")
+    q["duplicate_contacts"] = (f"SELECT codigo_sap, count(*) AS n_rows FROM ({_f(standin.HOT_CONTACTS_SQL)}) "
+                               "GROUP BY codigo_sap HAVING count(*) > 1")
     return q

@@ -35,7 +35,7 @@ from offerline.operators.loads import dedupe_rows
 from offerline.operators.messages import message_load
 from offerline.operators.offers import NUMBERED_COLUMNS, cheapest_offer, fold_offers
 from offerline.operators.publish import attach_ids, conform, publish_mailing
-from offerline.operators.quality import invalid_number_profile, nonnull_profile
+from offerline.operators.quality import invalid_number_profile, key_multiplicity, nonnull_profile, null_columns
 from offerline.operators.registry import issue_ids, new_codes
 from offerline.plans import jobs, standin
 from offerline.sources.io import read_message_loads, write_message_loads, write_partitioned
@@ -448,3 +448,30 @@ def mailing_two_days(spark, sf_dir):
         out = rows.select("o_orderkey", "o_custkey", F.lit(day).cast("date").alias("dt_mailing"))
         write_partitioned(out, path, "dt_mailing", "overwrite")
     return _dates_as_text(spark.read.parquet(path).select("o_orderkey", "o_custkey", "dt_mailing"))
+
+
+# --- added checks -----------------------------------------------------------------
+
+@query
+def phones_strict(spark, sf_dir):
+    """T2, T3, T18 strict: digit-bounded matches, a matched 55 not doubled."""
+    docs = _read(spark, sf_dir, "documents")
+    return docs.select("doc_id", find_mobile("text", strict=True).alias("mobile"),
+                       find_landline("text", strict=True).alias("landline"))
+
+
+@query
+def null_columns_q(spark, sf_dir):
+    """Which columns of customer LEFT JOIN urgent orders hold a NULL."""
+    customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    orders = _read(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    joined = left_enrich(customer, orders, "c_custkey", right_key="o_custkey",
+                         columns=["o_orderkey", "o_totalprice", "o_orderdate"])
+    return null_columns(joined)
+
+
+@query
+def duplicate_contacts(spark, sf_dir):
+    """Q4 report: contact keys listed more than once (each multiplies base rows)."""
+    hot = standin.hot_contacts(spark, sf_dir)
+    return key_multiplicity(hot, S.CONTACTS_KEY).withColumnRenamed(S.CONTACTS_KEY, "codigo_sap")
