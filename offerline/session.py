@@ -26,7 +26,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("OFFERLINE_DRIVER_MEMORY", "8g"))
-               .config("spark.sql.legacy.javaCharsets", "true"))
+               .config("spark.sql.legacy.javaCharsets", "true")
+               # Let the JIT compile Spark's large generated methods (the
+               # 64-column campaign stage); set the same on executors.
+               .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods"))
     for k, v in {**JOB_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
