@@ -28,8 +28,14 @@ RUN_DATE = "2024-04-25"
 PREVIOUS_DATE = "2024-04-24"
 
 
-# Row-heavy tables are spread over the cores when they arrive as one file.
-SPREAD_TABLES = ("lineitem", "orders", "documents", "events")
+# Row-heavy tables are spread over the cores when they arrive as one file,
+# hashed on a near-unique key.
+SPREAD_TABLES = {
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
+    "orders": ("o_orderkey",),
+    "documents": ("doc_id",),
+    "events": ("event_id",),
+}
 
 
 def spark_refs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -40,7 +46,7 @@ def spark_refs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         name = f"{tag}_{t}"
         if not spark.catalog.tableExists(name):
             df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
-            (spread(df) if t in SPREAD_TABLES else df).createOrReplaceTempView(name)
+            (spread(df, SPREAD_TABLES[t]) if t in SPREAD_TABLES else df).createOrReplaceTempView(name)
         refs[t] = name
     return refs
 

@@ -48,7 +48,10 @@ def apply_job_conf(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Checkpoint directory from ``spark.checkpoint.dir``; a local temporary
     folder is used only when the session names none (local tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if configured is None and sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
     path = configured or fallback or tempfile.mkdtemp(prefix="offerline-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path

@@ -1,0 +1,84 @@
+"""Checks, rejects, display formats and the smaller publish helpers."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from offerline import schemas as S
+from offerline.operators import (
+    assign_channels,
+    display_columns,
+    encoding_loss,
+    invalid_number_profile,
+    key_multiplicity,
+    nonnull_profile,
+    null_columns,
+    schema_mismatches,
+    split_invalid_ids,
+    stack_bases,
+)
+from offerline.operators.publish import conform, with_load_timestamp, with_placeholder_id
+
+
+def test_split_invalid_ids(spark):
+    df = spark.createDataFrame([("1", "2"), (None, "3"), ("4.0", "5"), (" 6 ", "x")], "CNPJ string, VEDI_COD_CLI string")
+    ok, bad = split_invalid_ids(df, ("CNPJ", "VEDI_COD_CLI"))
+    assert [tuple(r) for r in ok.collect()] == [("1", "2")]
+    assert sorted(r.reject_reason for r in bad.collect()) == ["CNPJ", "CNPJ", "VEDI_COD_CLI"]
+
+
+def test_profiles(spark):
+    df = spark.createDataFrame([("1", None), ("x", "2"), (None, "y")], "a string, b string")
+    assert tuple(nonnull_profile(df).first()) == (2, 2)
+    assert tuple(null_columns(df).first()) == (True, True)
+    got = {r.column_name: (r.n_invalid, r.example_min) for r in invalid_number_profile(df, ["a", "b"]).collect()}
+    assert got == {"a": (1, "x"), "b": (1, "y")}
+
+
+def test_key_multiplicity(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k long")
+    assert [tuple(r) for r in key_multiplicity(df, "k").collect()] == [(1, 2)]
+
+
+def test_encoding_loss(spark):
+    df = spark.createDataFrame([("Preço",), ("€ 5",), ("数",)], "t string")
+    assert encoding_loss(df, ["t"]).first().t == 1
+
+
+def test_schema_check(spark):
+    df = spark.createDataFrame([(1, "a")], "x long, y string")
+    assert schema_mismatches(df, T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.StringType())])) == []
+    assert schema_mismatches(df, T.StructType([T.StructField("x", T.StringType()), T.StructField("y", T.StringType())]))
+
+
+def test_display_formats(spark):
+    df = spark.createDataFrame([(1.5, 12, dt.date(2024, 4, 25), None)],
+                               "`Novo Preço Final Limite` double, CNPJ long, VEDI_DAT_VEN date, `Distância` double")
+    r = display_columns(df).first()
+    assert (r["Novo Preço Final Limite"], r["CNPJ"], r["VEDI_DAT_VEN"], r["Distância"]) == ("1.5000", "12", "25/04/2024", None)
+
+
+def test_channel_policy(spark):
+    df = spark.createDataFrame([("DIS", "55"), ("DIS", None)], "Canal string, fone_1 string")
+    assert [r.Canal for r in assign_channels(df, policy="mobile_is_whatsapp").collect()] == ["WhatsApp", "DIS"]
+
+
+def test_stack_and_timestamp_and_placeholder(spark):
+    a = spark.createDataFrame([(1, "x")], "k long, a string")
+    b = spark.createDataFrame([(2, 3.0)], "k long, b double")
+    rows = sorted(tuple(r) for r in stack_bases(a, b).collect())
+    assert rows == [(1, "x", None), (2, None, 3.0)]
+    ts = with_load_timestamp(a, "2024-04-25 15:00:00").first().ts_carga
+    assert ts == dt.datetime(2024, 4, 25, 12, 0)
+    assert with_placeholder_id(a).columns == ["id_oportunidade", "k", "a"]
+
+
+def test_conform_types(spark):
+    cols = S.base_columns()
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+    df = spark.createDataFrame([tuple("1" for _ in cols)], schema).withColumn(S.SALE_DATE, F.lit("2024-04-25").cast("date"))
+    out = conform(df)
+    assert schema_mismatches(out, S.mailing_schema()) == []
+    r = out.first()
+    assert r.score == "" and r.flag == "" and r.distancia == 1.0 and r.vedi_dat_ven == dt.date(2024, 4, 25)
