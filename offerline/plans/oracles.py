@@ -338,12 +338,17 @@ def oracle_sql() -> dict[str, str]:
         "c_mktsegment AS mktsegment FROM customer UNION ALL "
         "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier")
     q["fill_from_group"] = (
-        "SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey, coalesce(qty, first_value(qty IGNORE NULLS) OVER w) AS qty, "
-        "coalesce(flag, first_value(flag IGNORE NULLS) OVER w) AS flag FROM (SELECT *, "
-        "CASE WHEN l_linenumber % 3 <> 0 THEN l_quantity END AS qty, "
-        "CASE WHEN l_orderkey % 4 <> 0 THEN l_returnflag END AS flag FROM lineitem) "
-        "WINDOW w AS (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, "
-        "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
+        "WITH t AS (SELECT *, CASE WHEN l_linenumber % 3 <> 0 THEN l_quantity END AS qty, "
+        "CASE WHEN l_orderkey % 4 <> 0 THEN l_returnflag END AS flag FROM lineitem), "
+        "o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, "
+        "l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS pos FROM t), "
+        "fq AS (SELECT l_partkey, qty AS fqty FROM (SELECT l_partkey, qty, ROW_NUMBER() OVER (PARTITION BY l_partkey "
+        "ORDER BY pos) AS r FROM o WHERE qty IS NOT NULL) WHERE r = 1), "
+        "ff AS (SELECT l_partkey, flag AS fflag FROM (SELECT l_partkey, flag, ROW_NUMBER() OVER (PARTITION BY l_partkey "
+        "ORDER BY pos) AS r FROM o WHERE flag IS NOT NULL) WHERE r = 1) "
+        "SELECT t.l_orderkey, t.l_partkey, t.l_linenumber, t.l_suppkey, coalesce(t.qty, fq.fqty) AS qty, "
+        "coalesce(t.flag, ff.fflag) AS flag FROM t LEFT JOIN fq ON t.l_partkey = fq.l_partkey "
+        "LEFT JOIN ff ON t.l_partkey = ff.l_partkey")
 
     ct = f"WITH k AS (SELECT *, {contact_text(['hot_phone', 'wpp_phone'], CONTACTS)} AS t FROM ({_f(standin.CONTACTS_SQL)})) "
     q["contact_text"] = ct + "SELECT code, t AS contact_text FROM k"
