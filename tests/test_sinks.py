@@ -80,3 +80,12 @@ def test_run_campaign_end_to_end(spark, tmpdir_fresh):
     day1 = mailing.filter("dt_mailing = '2024-04-25'")
     assert day1.count() == _campaign(spark).dropDuplicates().count()
     assert len(mailing.columns) == 68
+
+
+def test_load_writer_guards_charset(spark, tmpdir_fresh):
+    df = spark.createDataFrame([("Preço 数 €", 1), ("ok", 1)], "CORINGA5 string, n_offers int")
+    with pytest.raises(Exception):
+        write_message_loads(df, f"{tmpdir_fresh}/raise")
+    write_message_loads(df, f"{tmpdir_fresh}/replace", on_unmappable="replace")
+    back = sorted(r.CORINGA5 for r in read_message_loads(spark, f"{tmpdir_fresh}/replace").collect())
+    assert back == ["Preço ? €", "ok"]
