@@ -15,6 +15,7 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.legacy.javaCharsets": "true",  # windows-1252 message loads
 }
 
 
