@@ -26,7 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("OFFERLINE_DRIVER_MEMORY", "8g"))
+               .config("spark.driver.memory", os.environ.get("OFFERLINE_DRIVER_MEMORY", _driver_memory()))
                .config("spark.sql.legacy.javaCharsets", "true")
                # Let the JIT compile Spark's large generated methods (the
                # 64-column campaign stage); set the same on executors.
@@ -39,6 +39,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _driver_memory(cap_mb: int = 8192) -> str:
+    """60% of physical memory, at most ``cap_mb`` (local mode: the driver JVM
+    holds every executor thread)."""
+    try:
+        with open("/proc/meminfo") as fh:
+            total_kb = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal:"))
+        return f"{max(1024, min(cap_mb, int(total_kb / 1024 * 0.6)))}m"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def apply_job_conf(spark: SparkSession) -> SparkSession:
     """Set the job settings on an existing (cluster) session."""
     for k, v in JOB_CONF.items():
