@@ -54,3 +54,12 @@ def test_scan_is_pruned(spark):
     df = Q.QUERIES["dedupe_rows"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "l_shipdate" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+@pytest.mark.parametrize("name", ["message_load", "offers_wide_positional", "cheapest_offer"])
+def test_every_rank_window_limits_before_its_shuffle(spark, name):
+    plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    windows = plan.count("Window [row_number()")
+    assert windows > 0
+    # one partial limit under the exchange and one final limit per window
+    assert plan.count("WindowGroupLimit") == 2 * windows
