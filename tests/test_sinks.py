@@ -89,3 +89,18 @@ def test_load_writer_guards_charset(spark, tmpdir_fresh):
     write_message_loads(df, f"{tmpdir_fresh}/replace", on_unmappable="replace")
     back = sorted(r.CORINGA5 for r in read_message_loads(spark, f"{tmpdir_fresh}/replace").collect())
     assert back == ["Preço ? €", "ok"]
+
+
+def test_csv_landed_inputs_read_with_schema(spark, tmpdir_fresh):
+    from offerline.sources.io import read_input
+
+    base = standin.base(spark, SF)
+    base.write.option("header", True).csv(f"{tmpdir_fresh}/base_csv")
+    standin.hot_contacts(spark, SF).write.option("header", True).csv(f"{tmpdir_fresh}/Contatos_Quentes_1")
+    back = read_input(spark, f"{tmpdir_fresh}/base_csv", S.base_input_schema(), fmt="csv")
+    hot = read_input(spark, f"{tmpdir_fresh}/Contatos_Quentes*", S.HOT_CONTACTS_SCHEMA, fmt="csv")
+    assert back.count() == base.count() and hot.count() == standin.hot_contacts(spark, SF).count()
+    campaign = jobs.prepare_base(back, standin.insights(spark, SF), hot, standin.whatsapp_contacts(spark, SF))
+    expected = _campaign(spark)
+    assert campaign.select(S.SALE_DATE).distinct().count() == expected.select(S.SALE_DATE).distinct().count()
+    assert campaign.exceptAll(expected).count() == 0
