@@ -37,10 +37,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from offerline.plans.queries import QUERIES
 
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     cols = df.columns
