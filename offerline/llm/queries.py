@@ -9,8 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerline.llm import (chat_tree, common, decontaminate, langid, packing, quality_knn, rules, simhash, suffix_dedup,
-                           token_store)
+from offerline.llm import (chat_tree, common, decontaminate, langid, ngram_lm, packing, quality_knn, rules, simhash,
+                           suffix_dedup, token_store)
+
+
+def op1_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.scores(common.table(spark, sf_dir, "documents"), common.id_crc_mod("doc_id", 7) != 2).withColumnRenamed("id", "doc_id")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +85,6 @@ def _shipped(fn):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op2_suffix_dedup, op3_chat_prefix_tree, op4_packing, op5_quality_knn, op6_quality_rules, op7_language_ppm,
+QUERIES = {f.__name__: _shipped(f) for f in (op1_ngram_lm, op2_suffix_dedup, op3_chat_prefix_tree, op4_packing, op5_quality_knn, op6_quality_rules, op7_language_ppm,
                                    op8_decontaminate, op9_simhash, op10_token_store)}
 ORACLES: dict[str, str] = {}
