@@ -114,8 +114,7 @@ def nodes(convs: DataFrame, tokenizer: str) -> DataFrame:
                 ["key", "rank", "depth", "part", "part_start", "n_tokens", "ids", "loss_start", "loss_length"])
             start += int(ends[-1])
 
-    laid = common.materialize(distinct.orderBy("rank", "depth").mapInArrow(
-        run, "key string, rank long, depth int, part int, part_start long, n_tokens long, ids array<int>, loss_start long, loss_length long"), "nodes")
+    laid = common.materialize(distinct.orderBy("rank", "depth").mapInArrow(common.trimming(run), "key string, rank long, depth int, part int, part_start long, n_tokens long, ids array<int>, loss_start long, loss_length long"), "nodes")
     parts = laid.groupBy("part").agg(F.sum("n_tokens").alias("n"))      # one row a sort partition
     base = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     placed = laid.join(F.broadcast(base), "part").withColumn("stream_start", F.col("base") + F.col("part_start")).drop("part", "part_start", "base")

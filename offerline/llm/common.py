@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -69,6 +70,38 @@ def id_crc_mod(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers are used again by later
+    stages and would hold on to it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):   # another C library
+        pass
+
+
+def trimming(fn: Callable) -> Callable:
+    """A ``mapInArrow`` function that releases memory after each batch."""
+    def run(batches):
+        for out in fn(batches):
+            yield out
+            release()
+        release()
+
+    return run
+
+
+def trimming_groups(fn: Callable) -> Callable:
+    """The same for a function of ``applyInPandas``."""
+    def run(key, frame):
+        try:
+            return fn(key, frame)
+        finally:
+            release()
+
+    return run
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
     def run(batches):
@@ -76,7 +109,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
             if batch.num_rows:
                 yield from fn(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimming(run), schema)
 
 
 def slices(lengths, limit: int) -> Iterator[tuple[int, int]]:

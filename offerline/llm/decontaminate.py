@@ -111,7 +111,7 @@ def scan(docs: DataFrame, patterns: list, out_columns: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([have[c] for c in out_columns], out_columns)
 
     kinds = dict(docs.dtypes) | {"n_words": "long", "hits": HIT, "items": "array<string>"}
-    return docs.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in out_columns))
+    return docs.mapInArrow(common.trimming(run), ", ".join(f"`{c}` {kinds[c]}" for c in out_columns))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col: str = "doc_id", text_col: str = "text",

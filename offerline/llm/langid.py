@@ -187,5 +187,4 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                     pred[i], score[i] = coder.names[j], s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(pred), pa.string()), pa.array(score)], ["id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(
-        run, "id long, lang_pred string, score double")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).mapInArrow(common.trimming(run), "id long, lang_pred string, score double")

@@ -42,9 +42,9 @@ from pyspark.sql import functions as F
 
 from offerline.llm import common
 
-BLOCK_BYTES = 10 << 20      # text of a block
-SHARD_BYTES = 10 << 20      # text for each shard of words and of the trie
-HASH_BYTES = 2 << 20        # text hashed at once
+BLOCK_BYTES = 7 << 20      # text of a block
+SHARD_BYTES = 7 << 20      # text for each shard of words and of the trie
+HASH_BYTES = 1 << 20        # text hashed at once
 PER_DECADE = 32             # quantisation steps a factor of ten
 U = np.uint64
 BASE = 0x9E3779B97F4A7C55
@@ -108,7 +108,7 @@ def each_block(docs: DataFrame, fn, schema: str) -> DataFrame:
             for block in blocks_of(batch, i):
                 yield from fn(*block)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.trimming(run), schema)
 
 
 def word_shards(vocab: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +143,7 @@ def count_words(docs: DataFrame, shards: int) -> DataFrame:
         return pd.DataFrame(rows, columns=["block", "shard", "data", "tokens", "types", "ones", "twos"])
 
     asked = each_block(docs, ask, "shard int, block string, data binary")
-    return asked.groupBy("shard").applyInPandas(answer, "block string, shard int, data binary, tokens long, types long, ones long, twos long")
+    return asked.groupBy("shard").applyInPandas(common.trimming_groups(answer), "block string, shard int, data binary, tokens long, types long, ones long, twos long")
 
 
 # --- the trie ------------------------------------------------------------------
@@ -380,7 +380,7 @@ def answer_trigrams(messages: DataFrame) -> DataFrame:
         return pd.DataFrame([(b, int(key[0]), _packed(codes=c)) for b, c in zip(frame["block"], np.split(codes, ends[:-1], axis=1))],
                             columns=["block", "shard", "data"])
 
-    return messages.groupBy("shard").applyInPandas(run, "block string, shard int, data binary")
+    return messages.groupBy("shard").applyInPandas(common.trimming_groups(run), "block string, shard int, data binary")
 
 
 def scores(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

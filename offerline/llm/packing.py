@@ -124,7 +124,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW,
         return frame.assign(sequence_id=2 * (number * groups + int(key[0])) + 1, offset=offset)[["row", "sequence_id", "offset"]]
 
     placed = (rest.select("row", "length", F.pmod(F.xxhash64("row"), F.lit(groups)).alias("g"))
-              .groupBy("g").applyInPandas(run, "row long, sequence_id long, offset long"))
+              .groupBy("g").applyInPandas(common.trimming_groups(run), "row long, sequence_id long, offset long"))
     return full.unionByName(rest.join(placed, "row")).drop("row")
 
 
@@ -137,4 +137,4 @@ def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataF
         return pd.DataFrame({"sequence_id": [key[0]], "n_tokens": [len(ids)],
                              "ids": [np.concatenate([ids, np.full(more, pad_id)]).astype(np.int32)]})
 
-    return packed.groupBy("sequence_id").applyInPandas(run, "sequence_id long, n_tokens long, ids array<int>")
+    return packed.groupBy("sequence_id").applyInPandas(common.trimming_groups(run), "sequence_id long, n_tokens long, ids array<int>")

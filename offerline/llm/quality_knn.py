@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from offerline.llm import common
 
-PER_CLASS = 1500    # documents of each label in the sample: the bound of what is broadcast
+PER_CLASS = 1000    # documents of each label in the sample: the bound of what is broadcast
 DIMENSIONS = 48
 NEIGHBOURS = 15
 SHARPNESS = 8
@@ -134,5 +134,5 @@ def scores(docs: DataFrame, space: Space | None, id_col: str = "doc_id", text_co
     rows = docs.select(common.text_of(text_col).alias("t"), F.col(id_col).cast("long").alias("id"),
                        *[F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)])
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names) + ", score double").withColumnsRenamed(
+    return rows.mapInArrow(common.trimming(run), ", ".join(f"{n} {kinds[n]}" for n in names) + ", score double").withColumnsRenamed(
         {f"carry_{i}": c for i, c in enumerate(carry)})

@@ -103,7 +103,8 @@ def links(fps: DataFrame, max_bits: int = 2, segments: int = SEGMENTS) -> DataFr
     a, b = left.alias("a"), right.alias("b")
     close = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits
     ordered = F.col("a.fp") < F.col("b.fp") if near == far else F.col("a.fp") != F.col("b.fp")
-    pairs = a.join(b, (F.col("a.cell") == F.col("b.cell")) & ordered & close)
+    # The points outnumber the fingerprints they come from: never broadcast.
+    pairs = a.hint("merge").join(b, (F.col("a.cell") == F.col("b.cell")) & ordered & close)
     return pairs.select(F.least("a.fp", "b.fp").alias("a"), F.greatest("a.fp", "b.fp").alias("b")).distinct()
 
 

@@ -56,7 +56,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
             start += int(ends[-1])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_of(text_col).alias("t"))
-    return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "t").mapInArrow(run, SCHEMA)
+    return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "t").mapInArrow(common.trimming(run), SCHEMA)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:

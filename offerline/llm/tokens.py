@@ -21,7 +21,12 @@ from tokenizers import Tokenizer
 # Between a Latin letter and ASCII punctuation (no apostrophe), either way.
 LETTERS, MARKS = "A-Za-zß-öø-ÿ", "!-&(-/:-@\\[-`{-~"
 CUT = re.compile(f"(?<=[{LETTERS}])(?=[{MARKS}])|(?<=[{MARKS}])(?=[A-Za-z])")
-MEMO = 800_000      # pieces kept by a worker; beyond it starts anew, which costs time only
+# A run of Latin letters, with the blank before it or not: one piece for the model.
+PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for U+0100 on.
+VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+ALPHABET = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in VISIBLE)}
+MEMO = 600_000      # pieces kept by a worker; beyond it starts anew, which costs time only
 TEXT_AT_ONCE = 4 << 20
 ENCODE_AT_ONCE = 20_000
 
@@ -31,6 +36,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
+        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
+        probe = "x" if self.normalizer is None else self.normalizer.normalize_str("x")
+        cut = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + probe)]
+        self.keeps_blank = {("Ġx",): True, ("x",): False}.get(tuple(cut))      # else no short cut
         self.clear()
 
     def clear(self) -> None:
@@ -46,10 +55,28 @@ class Encoder:
             out += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[i:i + ENCODE_AT_ONCE], add_special_tokens=False)]
         return out
 
+    def pieces(self, pieces: list[str]) -> list[np.ndarray]:
+        """As ``whole``; runs of Latin letters go to the library's model
+        directly, as its pre-tokenizer would hand them over."""
+        if self.keeps_blank is None:
+            return self.whole(pieces)
+        plain = [bool(PLAIN.fullmatch(p)) for p in pieces]
+        other = iter(self.whole([p for p, x in zip(pieces, plain) if not x]))
+        out = []
+        for p, x in zip(pieces, plain):
+            if not x:
+                out.append(next(other))
+                continue
+            p = p if self.keeps_blank else p.lstrip(" ")
+            p = p if self.normalizer is None else self.normalizer.normalize_str(p)
+            p = p.encode().decode("latin-1").translate(ALPHABET)
+            out.append(np.array([t.id for t in self.model.tokenize(p)], np.uint32))
+        return out
+
     def learn(self, pieces: list[str]) -> None:
         for i in range(0, len(pieces), ENCODE_AT_ONCE):
             part = pieces[i:i + ENCODE_AT_ONCE]
-            ids = self.whole(part)
+            ids = self.pieces(part)
             n, sizes = len(self.index), np.fromiter(map(len, ids), np.int64, len(ids))
             while n + len(part) > len(self.size):
                 self.size, self.start = (np.concatenate([x, np.zeros_like(x)]) for x in (self.size, self.start))
