@@ -134,4 +134,4 @@ def opportunity_id(run_date: Column, number: Column) -> Column:
 
 def id_sequence(c) -> Column:
     """Running number part of an opportunity id (text after the yyMMdd prefix)."""
-    return F.substring(_c(c), 7, 64).cast("bigint")
+    return _c(c).substr(F.lit(7), F.length(_c(c))).cast("bigint")

@@ -34,10 +34,33 @@ def registry_of_day(registry: DataFrame, run_date) -> DataFrame:
 
 
 def new_codes(codes: DataFrame, registry: DataFrame, run_date, code: str = CODE) -> DataFrame:
-    """Distinct codes with no id on the run date (anti join)."""
+    """Distinct codes with no id on the run date (anti join). A NULL code
+    stops the job: it could get no id."""
     today = registry_of_day(registry, run_date).select(CODE)
-    return codes.select(F.col(code).cast("bigint").alias(CODE)).filter(F.col(CODE).isNotNull()).distinct().join(
-        today, CODE, "left_anti")
+    value = F.col(code).cast("bigint")
+    checked = F.when(value.isNull(), F.raise_error(F.lit(f"NULL in {code}")).cast("bigint")).otherwise(value)
+    return codes.select(checked.alias(CODE)).distinct().join(today, CODE, "left_anti")
+
+
+def _bucket(value, width: int) -> Column:
+    """Number of the bucket of ``width`` consecutive values, in integers."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.floor((c - F.pmod(c, F.lit(width))).cast("decimal(20,0)") / F.lit(width)).cast("bigint")
+
+
+def _offsets(counts: DataFrame, levels: int) -> DataFrame:
+    """(__bk, __off): rows in all lower buckets. Buckets are themselves summed
+    in buckets of 65,536, ``levels`` times; a window sees one of those, and
+    the top one at most 65,536 rows for codes of 64 bits."""
+    before = Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    if not levels:
+        return counts.select("__bk", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
+    counts = counts.withColumn("__up", _bucket("__bk", DEFAULT_BUCKET_WIDTH))
+    up = _offsets(counts.groupBy(F.col("__up").alias("__bk")).agg(F.sum("__cnt").alias("__cnt")), levels - 1)
+    up = up.select(F.col("__bk").alias("__up"), F.col("__off").alias("__base"))
+    before = Window.partitionBy("__up").orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    own = counts.withColumn("__in", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
+    return own.join(up, "__up").select("__bk", (F.col("__in") + F.col("__base")).alias("__off"))
 
 
 def number_in_order(df: DataFrame, key: str = CODE, bucket_width: int = DEFAULT_BUCKET_WIDTH,
@@ -45,14 +68,9 @@ def number_in_order(df: DataFrame, key: str = CODE, bucket_width: int = DEFAULT_
     """Global 1-based running number in ``key`` order (key values distinct)
     without a one-partition sort: rows are numbered inside buckets of
     ``bucket_width`` consecutive key values, and each bucket adds the row
-    count of all lower buckets (a small aggregate of one row per bucket)."""
-    bk = F.floor(F.col(key) / F.lit(bucket_width)).alias("__bk")
-    keyed = df.withColumn("__bk", bk)
-    counts = keyed.groupBy("__bk").agg(F.count(F.lit(1)).alias("__cnt"))
-    offsets = counts.select(
-        "__bk",
-        F.coalesce(F.sum("__cnt").over(Window.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__off"))
+    count of all lower buckets (summed level by level)."""
+    keyed = df.withColumn("__bk", _bucket(key, bucket_width))
+    offsets = _offsets(keyed.groupBy("__bk").agg(F.count(F.lit(1)).alias("__cnt")), 2)
     local = F.row_number().over(Window.partitionBy("__bk").orderBy(key))
     start = start if isinstance(start, Column) else F.lit(start)
     return (keyed.withColumn("__local", local).join(offsets, "__bk")

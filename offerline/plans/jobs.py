@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,17 +96,24 @@ def run_campaign(spark: SparkSession, paths: CampaignPaths, run_date, mode: str
         fold_campaign(campaign, mode, phone_policy).write.mode("overwrite").parquet(f"{paths.debug}/{run_date}/folded")
 
     write_message_loads(message_job(campaign, mode, phone_policy), f"{paths.message_loads}/{run_date}")
-    board_job(campaign).write.mode("overwrite").partitionBy("load").parquet(f"{paths.board_loads}/{run_date}")
+    board_job(campaign).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("load").parquet(f"{paths.board_loads}/{run_date}")
 
     registry = _read_registry(spark, paths.registry)
     write_partitioned(ids_job(campaign, registry, run_date).checkpoint(), paths.registry, "dt_oportunidade", "append")
-    registry = read_table(spark, paths.registry)
+    registry = read_table(spark, paths.registry, S.REGISTRY_SCHEMA)
     write_partitioned(publish_mailing(campaign, registry, run_date, weekday_headers), paths.mailing,
                       "dt_mailing", "overwrite")
 
 
 def _read_registry(spark: SparkSession, target: str) -> DataFrame:
+    """The registry; empty on the first run only. Any other failure to read
+    it stops the job, or codes would be numbered again."""
+    empty = spark.createDataFrame([], S.REGISTRY_SCHEMA)
+    if "/" not in target:
+        return read_table(spark, target) if spark.catalog.tableExists(target) else empty
     try:
-        return read_table(spark, target)
-    except Exception:  # first run: no registry yet
-        return spark.createDataFrame([], S.REGISTRY_SCHEMA)
+        return read_table(spark, target, S.REGISTRY_SCHEMA)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return empty
+        raise

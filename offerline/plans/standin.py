@@ -20,7 +20,6 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 from offerline import schemas as S
-from offerline.sources.io import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
@@ -28,25 +27,14 @@ RUN_DATE = "2024-04-25"
 PREVIOUS_DATE = "2024-04-24"
 
 
-# Row-heavy tables are spread over the cores when they arrive as one file,
-# hashed on a near-unique key.
-SPREAD_TABLES = {
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
-    "orders": ("o_orderkey",),
-    "documents": ("doc_id",),
-    "events": ("event_id",),
-}
-
-
 def spark_refs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Temp views of the driver tables of ``sf_dir`` (names unique per folder)."""
-    tag = "ol_" + hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    tag = "ol_" + hashlib.sha1(sf_dir.encode()).hexdigest()
     refs = {}
     for t in TABLES:
         name = f"{tag}_{t}"
         if not spark.catalog.tableExists(name):
-            df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
-            (spread(df, SPREAD_TABLES[t]) if t in SPREAD_TABLES else df).createOrReplaceTempView(name)
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(name)
         refs[t] = name
     return refs
 
@@ -59,7 +47,7 @@ def sql(spark: SparkSession, template: str, sf_dir: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (spread over the cores when it is one small file)."""
+    """One driver table."""
     return spark.table(spark_refs(spark, sf_dir)[name])
 
 

@@ -8,13 +8,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job expects: AQE re-plans joins and partition counts at run
-# time (and splits skewed join partitions), timestamps are read in UTC.
+# time (and splits skewed join partitions, also below another join), bad
+# values raise, timestamps are read in UTC.
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.legacy.javaCharsets": "true",  # windows-1252 message loads
 }
 
@@ -64,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if configured is None and sc.getCheckpointDir() is not None:
         return sc.getCheckpointDir()
+    if configured is None and fallback is None and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = configured or fallback or tempfile.mkdtemp(prefix="offerline-ckpt-")
     sc.setCheckpointDir(path)
     return path

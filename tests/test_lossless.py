@@ -1,0 +1,58 @@
+"""Sinks and readers lose nothing: re-runs, bad values, registry errors."""
+
+import os
+import tempfile
+
+import pytest
+
+from offerline import schemas as S
+from offerline.operators.registry import issue_ids, number_in_order
+from offerline.plans.jobs import _read_registry
+from offerline.sources.io import read_input, read_message_loads, read_table, write_message_loads, write_partitioned
+
+
+def test_rerun_leaves_no_bucket_of_the_earlier_run(spark, tmpdir_fresh):
+    load = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "MENSAGEM string, n_offers int")
+    write_message_loads(load, f"{tmpdir_fresh}/load")
+    write_message_loads(load.filter("n_offers = 1"), f"{tmpdir_fresh}/load")
+    assert [(r.MENSAGEM, r.n_offers) for r in read_message_loads(spark, f"{tmpdir_fresh}/load").collect()] == [("a", 1)]
+
+
+@pytest.mark.parametrize("bad", ["5,1", "abc"])
+def test_bad_price_in_csv_raises(spark, bad):
+    from pyspark.sql import types as T
+
+    path = os.path.join(tempfile.mkdtemp(prefix="offerline-test-"), "x.csv")
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("p", T.DoubleType())])
+    with open(path, "w") as out:
+        out.write(f'k,p\na,1.5\nb,"{bad}"\n')
+    with pytest.raises(Exception, match="bad value in p"):
+        read_input(spark, path, schema).collect()
+    with open(path, "w") as out:
+        out.write("k,p\na,1.5\nb,\n")
+    assert [(r.k, r.p) for r in read_input(spark, path, schema).collect()] == [("a", 1.5), ("b", None)]
+
+
+def test_registry_is_empty_on_the_first_run_only(spark, tmpdir_fresh):
+    path = f"{tmpdir_fresh}/registry"
+    assert _read_registry(spark, path).count() == 0
+    write_partitioned(spark.createDataFrame([], S.REGISTRY_SCHEMA), path, "dt_oportunidade")
+    assert read_table(spark, path, S.REGISTRY_SCHEMA).count() == 0     # an empty first append
+    os.makedirs(f"{path}/dt_oportunidade=2024-04-25", exist_ok=True)
+    with open(f"{path}/dt_oportunidade=2024-04-25/part-0.parquet", "wb") as out:
+        out.write(b"damaged")
+    with pytest.raises(Exception):
+        _read_registry(spark, path).collect()
+
+
+def test_null_code_stops_the_job(spark):
+    codes = spark.createDataFrame([(1,), (None,)], "cod_sap long")
+    with pytest.raises(Exception, match="NULL in cod_sap"):
+        issue_ids(codes, spark.createDataFrame([], S.REGISTRY_SCHEMA), "2024-04-25").collect()
+
+
+def test_numbering_of_sparse_codes(spark):
+    codes = [i * 9_000_000_000_000_011 % (1 << 62) - (1 << 40) * (i % 3) for i in range(2000)]
+    rows = number_in_order(spark.createDataFrame([(c,) for c in set(codes)], "cod_sap long")).collect()
+    assert [r.cod_sap for r in sorted(rows, key=lambda r: r.n)] == sorted(set(codes))
+    assert sorted(r.n for r in rows) == list(range(1, len(rows) + 1))
