@@ -69,7 +69,7 @@ class Encoder:
                 continue
             p = p if self.keeps_blank else p.lstrip(" ")
             p = p if self.normalizer is None else self.normalizer.normalize_str(p)
-            p = p.encode().decode("latin-1").translate(ALPHABET)
+            p = p.replace(" ", "Ġ") if p.isascii() else p.encode().decode("latin-1").translate(ALPHABET)
             out.append(np.array([t.id for t in self.model.tokenize(p)], np.uint32))
         return out
 
