@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from offerline.llm import common
 
-SAMPLE_PER_CLASS = 1500     # documents of each label the rules are learned from
+SAMPLE_PER_CLASS = 1000     # documents of each label the rules are learned from; Spark limits groups before the shuffle up to 1,000
 WINDOW = 5
 FEATURES = ("mean_word_chars", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "mark_share", "distinct_share")
 MAX_RULES, MAX_CONDITIONS, CANDIDATES, MIN_PRECISION = 12, 3, 40, 0.9
