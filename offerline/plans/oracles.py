@@ -358,6 +358,23 @@ def oracle_sql() -> dict[str, str]:
         f", m AS (SELECT code, canal, {mobile('t')} AS f1 FROM k) SELECT code, canal AS canal_in, "
         "CASE WHEN canal = 'WhatsApp' THEN CASE WHEN f1 IS NULL OR f1 = '' THEN 'DIS' ELSE 'WhatsApp' END "
         "ELSE canal END AS canal FROM m")
+    older = r"(?:\+?55)? ?(?:\(?([1-9]{2})\)? ?)?(?:9[6-9])\d{3}[- ]?\d{4}"
+    q["phones_older_pattern"] = ct + f"SELECT code, {phone('t', older)} AS mobile FROM k"
+    q["contact_text_separator"] = (
+        "SELECT code, concat_ws('__', coalesce(hot_phone, ''), coalesce(wpp_phone, ''), c1, c2, c3, c4, c5, c6, c7, c8, c9, c10) "
+        f"AS contact_text FROM ({_f(standin.CONTACTS_SQL)})")
+    q["channel_from_mobile"] = ct + (
+        f"SELECT code, canal AS canal_in, CASE WHEN {mobile('t')} IS NOT NULL THEN 'WhatsApp' ELSE canal END AS canal FROM k")
+    q["load_timestamp"] = ("SELECT o_orderkey, strftime(TIMESTAMP '2024-04-25 12:00:00' - INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') "
+                           "AS ts_carga FROM orders")
+    q["placeholder_id"] = "SELECT 0 AS id_oportunidade, o_orderkey, o_custkey FROM orders"
+    no_id = "({c} IS NULL OR NOT regexp_full_match({c}, '\\s*[+-]?[0-9]+\\s*'))"
+    q["reject_ids"] = (
+        "SELECT *, NULLIF(concat_ws(',', " + ", ".join(f"CASE WHEN {no_id.format(c=c)} THEN '{c}' END" for c in ("code", "company"))
+        + f"), '') AS reject_reason FROM ({_f(standin.CUSTOMER_BAD_IDS_SQL)})")
+    lost = "[^\\x{0000}-\\x{007F}\\x{00A0}-\\x{00FF}€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]"
+    q["encoding_loss"] = ("SELECT " + ", ".join(f"count(*) FILTER (WHERE regexp_matches({c}, '{lost}')) AS {c}" for c in ("text", "marked"))
+                          + f" FROM ({_f(standin.DOCUMENT_TEXTS_SQL)})")
     q["overwrite_contact"] = ct + (
         f"SELECT code, 'dis' AS load, coalesce({landline('t')}, c10) AS contact_10 FROM k UNION ALL "
         f"SELECT code, 'wpp', coalesce({mobile('t')}, c10) FROM k")

@@ -20,7 +20,7 @@ from offerline.functions.numbers import (
     serial_day_to_timestamp,
     strict_id,
 )
-from offerline.functions.phones import find_landline, find_mobile
+from offerline.functions.phones import LEGACY_CONTACT_SEPARATOR, STRICT_MOBILE_BODY, find_landline, find_mobile
 from offerline.functions.text import address_text, display_value
 from offerline.operators.contacts import (
     assign_channels,
@@ -30,12 +30,12 @@ from offerline.operators.contacts import (
     whatsapp_rows,
 )
 from offerline.operators.enrich import fill_from_group, left_enrich, stack_bases
-from offerline.operators.ingest import authorised_contacts, exclude_value, round_prices
+from offerline.operators.ingest import authorised_contacts, exclude_value, round_prices, split_invalid_ids
 from offerline.operators.loads import dedupe_rows
 from offerline.operators.messages import message_load
 from offerline.operators.offers import NUMBERED_COLUMNS, cheapest_offer, fold_offers
-from offerline.operators.publish import attach_ids, conform, publish_mailing
-from offerline.operators.quality import invalid_number_profile, key_multiplicity, nonnull_profile, null_columns
+from offerline.operators.publish import attach_ids, conform, publish_mailing, with_load_timestamp, with_placeholder_id
+from offerline.operators.quality import encoding_loss, invalid_number_profile, key_multiplicity, nonnull_profile, null_columns
 from offerline.operators.registry import issue_ids, new_codes
 from offerline.plans import jobs, standin
 from offerline.sources.io import read_message_loads, write_message_loads, write_partitioned
@@ -152,7 +152,8 @@ def invalid_number_profile_q(spark, sf_dir):
 def nonnull_profile_q(spark, sf_dir):
     """Non-NULL count per column of customer LEFT JOIN urgent orders."""
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    orders = _read(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    orders = _read(spark, sf_dir, "orders").withColumn(
+        "o_custkey", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey")))
     joined = left_enrich(customer, orders, "c_custkey", right_key="o_custkey",
                          columns=["o_orderkey", "o_totalprice", "o_orderdate"])
     return nonnull_profile(joined).select([F.col(c).cast("bigint").alias(c) for c in joined.columns])
@@ -164,7 +165,8 @@ def nonnull_profile_q(spark, sf_dir):
 def enrich_left(spark, sf_dir):
     """Rename key, narrow lookup sides, left joins with fan-out."""
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    orders = _read(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    orders = _read(spark, sf_dir, "orders").withColumn(
+        "o_custkey", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey")))
     nation = _read(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     out = left_enrich(customer, orders, "c_custkey", right_key="o_custkey", columns=["o_orderkey", "o_totalprice"])
     out = left_enrich(out, nation, "c_nationkey", columns=["n_name"])
@@ -454,7 +456,7 @@ def mailing_two_days(spark, sf_dir):
 
 @query
 def phones_strict(spark, sf_dir):
-    """T2, T3, T18 strict: digit-bounded matches, a matched 55 not doubled."""
+    """T2, T3 strict: digit-bounded matches, a matched 55 not doubled."""
     docs = _read(spark, sf_dir, "documents")
     return docs.select("doc_id", find_mobile("text", strict=True).alias("mobile"),
                        find_landline("text", strict=True).alias("landline"))
@@ -464,7 +466,8 @@ def phones_strict(spark, sf_dir):
 def null_columns_q(spark, sf_dir):
     """Which columns of customer LEFT JOIN urgent orders hold a NULL."""
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    orders = _read(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    orders = _read(spark, sf_dir, "orders").withColumn(
+        "o_custkey", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey")))
     joined = left_enrich(customer, orders, "c_custkey", right_key="o_custkey",
                          columns=["o_orderkey", "o_totalprice", "o_orderdate"])
     return null_columns(joined)
@@ -475,3 +478,53 @@ def duplicate_contacts(spark, sf_dir):
     """Q4 report: contact keys listed more than once (each multiplies base rows)."""
     hot = standin.hot_contacts(spark, sf_dir)
     return key_multiplicity(hot, S.CONTACTS_KEY).withColumnRenamed(S.CONTACTS_KEY, "codigo_sap")
+
+
+# --- variants and reports -----------------------------------------------------------
+
+@query
+def phones_older_pattern(spark, sf_dir):
+    """Mobiles by the earlier, stricter pattern."""
+    rows = normalize_contacts(standin.contacts(spark, sf_dir), mobile_pattern=STRICT_MOBILE_BODY)
+    return rows.select("code", F.col(S.MOBILE).alias("mobile"))
+
+
+@query
+def contact_text_separator(spark, sf_dir):
+    """Contact fields joined by the earlier separator."""
+    rows = normalize_contacts(standin.contacts(spark, sf_dir), sep=LEGACY_CONTACT_SEPARATOR)
+    return rows.select("code", F.col(S.CONTACT_TEXT).alias("contact_text"))
+
+
+@query
+def channel_from_mobile(spark, sf_dir):
+    """Every row with a mobile becomes WhatsApp."""
+    df = _contacts(spark, sf_dir).withColumn("canal_in", F.col(S.CHANNEL))
+    return assign_channels(df, policy="mobile_is_whatsapp").select("code", "canal_in", F.col(S.CHANNEL).alias("canal"))
+
+
+@query
+def load_timestamp(spark, sf_dir):
+    """The load instant, a job argument in UTC, in local time."""
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey")
+    return with_load_timestamp(orders, "2024-04-25 12:00:00").select(
+        "o_orderkey", F.date_format("ts_carga", "yyyy-MM-dd HH:mm:ss").alias("ts_carga"))
+
+
+@query
+def placeholder_id(spark, sf_dir):
+    """A constant id column placed first."""
+    return with_placeholder_id(_read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+
+
+@query
+def reject_ids(spark, sf_dir):
+    """Rows with an invalid id go to the rejects with the columns at fault."""
+    good, bad = split_invalid_ids(standin.sql(spark, standin.CUSTOMER_BAD_IDS_SQL, sf_dir), ["code", "company"])
+    return good.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(bad)
+
+
+@query
+def encoding_loss_q(spark, sf_dir):
+    """Q25 report: values per column that windows-1252 cannot hold."""
+    return encoding_loss(standin.sql(spark, standin.DOCUMENT_TEXTS_SQL, sf_dir), ["text", "marked"])

@@ -288,6 +288,14 @@ CUSTOMER_ID_TEXT_SQL = (
     "ELSE ' ' || CAST(c_custkey AS STRING) || ' ' END AS id_text FROM {customer}"
 )
 
+CUSTOMER_BAD_IDS_SQL = (
+    "SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN CAST(c_custkey AS STRING) || 'x' "
+    "ELSE CAST(c_custkey AS STRING) END AS code, "
+    "CASE c_custkey % 3 WHEN 0 THEN '1.5' ELSE ' ' || CAST(c_custkey AS STRING) END AS company FROM {customer}"
+)
+
+DOCUMENT_TEXTS_SQL = "SELECT text, CASE WHEN doc_id % 3 = 0 THEN text || ' Ω' ELSE text END AS marked FROM {documents}"
+
 DISTANCE_TEXT = ("CASE WHEN l_linenumber % 7 = 0 THEN 'n/d' ELSE CAST(l_partkey % 500 AS STRING) || '.' "
                  "|| LPAD(CAST((l_suppkey * 7 + l_orderkey) % 100000 AS STRING), 5, '0') END")
 QUANTITY_TEXT = ("CASE WHEN l_linenumber % 3 = 0 THEN CAST(l_partkey AS STRING) || 'x' "
