@@ -441,3 +441,94 @@ def test_op1_elias_fano():
         asked = np.concatenate([values, rng.integers(0, top, 200).astype(np.uint64)])
         at = seq.find(asked)
         assert all((a >= 0 and values[a] == x) if x in set(values.tolist()) else a == -1 for a, x in zip(at.tolist(), asked.tolist()))
+
+
+def removed_bytes(rows):
+    """Per row: which bytes a 50-byte string of a smaller doc_id covers."""
+    first = {}
+    for r in rows:
+        data = (r["text"] or "").encode()
+        for p in range(len(data) - 49):
+            first[data[p:p + 50]] = min(first.get(data[p:p + 50], r["doc_id"]), r["doc_id"])
+    for r in rows:
+        data = (r["text"] or "").encode()
+        gone = np.zeros(len(data), bool)
+        for p in range(len(data) - 49):
+            if first[data[p:p + 50]] < r["doc_id"]:
+                gone[p:p + 50] = True
+        yield r, data, gone
+
+
+def one_a_group(rows):
+    """The row of the smallest doc_id of each group of fingerprints."""
+    prints = []
+    for r in rows:
+        own = words(r["text"])
+        h = [xxhash.xxh64_intdigest(b" ".join(own[i:i + 3]), 42) for i in range(max(1, len(own) - 2))] if own else []
+        prints.append(sum(1 << b for b in range(64) if h and 2 * sum(x >> b & 1 for x in h) > len(h)))
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and (prints[i] ^ prints[j]).bit_count() <= 2:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    low = {}
+    for g, r in zip(group, rows):
+        if g not in low or r["doc_id"] < low[g]["doc_id"]:
+            low[g] = r
+    return list(low.values())
+
+
+def test_pipeline_equals_brute_force(spark, sf, docs, encoders):
+    import corpus_pipeline
+    from offerline.llm import decontaminate, quality_knn
+
+    labels = {}
+    for r in pq.read_table(f"{sf}/labels.parquet").to_pylist():
+        if r["doc_id"] is not None and r["quality"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
+            labels[r["doc_id"]] = min(labels.get(r["doc_id"], 1), r["quality"])
+    text = {r["doc_id"]: r["text"] or "" for r in docs}
+    known = sorted(i for i in labels if i in text)
+    rows = docs
+    if known:
+        weights = quality_knn.term_weights([text[i] for i in known]).astype(np.float16).astype(np.float32)
+        space = quality_knn.Space(weights, np.array([labels[i] for i in known], np.int32))
+        rows = [r for r in docs if space.score([r["text"] or ""])[0] >= 0.7]
+    else:
+        rows = []
+    rows = one_a_group(rows)
+    cut = []
+    for r, data, gone in list(removed_bytes(rows)):
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], gone, [True]]).astype(int))).tolist()
+        kept = "".join(data[a:b].decode("utf-8", "ignore") for a, b in zip(edge[::2], edge[1::2]))
+        if not gone.any() or kept:
+            cut.append((r["doc_id"], kept))
+    windows = set()
+    for r in pq.read_table(f"{sf}/benchmark.parquet").to_pylist():
+        own = decontaminate.words_of(r["text"] or "")
+        windows |= {tuple(own[i:i + 10]) for i in range(max(1, len(own) - 9) if own else 0)}
+    sizes = {len(w) for w in windows}
+    want = []
+    for i, t in cut:
+        own = decontaminate.words_of(t)
+        if any(tuple(own[k:k + n]) in windows for n in sizes for k in range(len(own) - n + 1)):
+            continue
+        ids = encoders["byte_bpe_50k.json"].encode(t, add_special_tokens=False).ids + [0]
+        for a in range(0, len(ids), 1024):
+            part = ids[a:a + 1024]
+            want.append({"doc_id": i, "start": a, "length": len(part), "doc_tokens": len(ids), "ids_crc32": zlib.crc32(np.array(part, "<u4").tobytes())})
+    got = corpus_pipeline.run(spark, sf).toPandas().to_dict("records")
+    columns = ("doc_id", "start", "length", "doc_tokens", "ids_crc32")
+    assert key(got, *columns) == key(want, *columns)
+
+
+def test_pipeline_near_duplicates_without_ids(spark, sf):
+    import corpus_pipeline
+
+    long = [" ".join(f"{c}{i}" for i in range(30)) for c in "abc"]
+    rows = spark.createDataFrame([(4, long[0]), (None, long[0]), (None, long[1]), (None, long[1]), (9, long[2]), (2, long[2]), (7, None)],
+                                 "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    got = stage(spark, rows, sf)
+    assert tuple(got.columns) == corpus_pipeline.COLUMNS
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(4, long[0]), (None, long[1]), (2, long[2]), (7, None)]))
