@@ -65,7 +65,7 @@ def words(text):
     return (text or "").encode().lower().split()
 
 
-def test_op2_equals_brute_force(spark, sf, docs):
+def test_op2_equals_brute_force(spark, sf, docs, monkeypatch):
     first = {}
     for r in docs:
         data = (r["text"] or "").encode()
@@ -85,6 +85,18 @@ def test_op2_equals_brute_force(spark, sf, docs):
                      "kept_sha256": hashlib.sha256(kept).hexdigest()})
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert key(run(spark, "op2_suffix_dedup", sf), *columns) == key(want, *columns)
+    from offerline.llm import suffix_dedup
+
+    # Windows of frequent anchors dealt one by one, many small batches and buckets.
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 40_000)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for hot in (0, 5):
+            got = suffix_dedup.dedup(spark.read.parquet(f"{sf}/documents.parquet"), hot_runs=hot).withColumnRenamed("id", "doc_id")
+            assert key([r.asDict() for r in got.collect()], *columns) == key(want, *columns)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
 
 
 def test_op2_merge_equals_brute_force():
