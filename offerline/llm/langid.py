@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from offerline.llm import common
 
 ORDER = 3
-DOCS_PER_LANGUAGE = 400     # training sample: at most so many documents a language ...
-BYTES_PER_DOC = 1 << 16     # ... and so many bytes of each: the model's size is bounded
+DOCS_PER_LANGUAGE = 400         # training sample: at most so many documents a language, taken whole, ...
+BYTES_PER_LANGUAGE = 24 << 20   # ... until they hold so many bytes: the model's size is bounded
 SCALE = 0.05                # share of a byte's cost difference that counts as evidence
 TABLE_BITS = 22
 START = b"\n" * ORDER       # what stands before a text
@@ -140,22 +140,25 @@ class Coder:
 
 
 def train(docs: DataFrame, trainable, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = DOCS_PER_LANGUAGE, max_bytes: int = BYTES_PER_DOC) -> dict:
-    """{language: (n-gram codes, counts)} from at most ``per_language``
-    documents of each language, those of the smallest id hash."""
+          per_language: int = DOCS_PER_LANGUAGE, max_bytes: int = BYTES_PER_LANGUAGE) -> dict:
+    """{language: (n-gram codes, counts)} from at most ``per_language`` whole
+    documents of each language, those of the smallest id hash: as many of them
+    as start within ``max_bytes``."""
     rank = Window.partitionBy("lang").orderBy("h", "id", "x")
+    before = rank.rowsBetween(Window.unboundedPreceding, -1)    # of the chosen rows, per_language at most
     rows = docs.filter(trainable).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     h = F.xxhash64(F.lit("language"), F.col(id_col))
     chosen = (rows.select(F.col(lang_col).alias("lang"), h.alias("h"), F.col(id_col).alias("id"),
-                          F.xxhash64(text_col).alias("x"))
-              .withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= per_language).select("id").distinct())
+                          F.xxhash64(text_col).alias("x"), F.octet_length(text_col).cast("long").alias("n"))
+              .withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= per_language)
+              .withColumn("past", F.sum("n").over(before)).filter(F.coalesce("past", F.lit(0)) < max_bytes).select("id").distinct())
     texts = (rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
              .join(F.broadcast(chosen), "id").select("lang", "t"))
 
     def run(batch: pa.RecordBatch):
         langs = np.array(batch.column(0).to_pylist(), object)
         for lang in sorted(set(langs)):
-            own = [START + batch.column(1)[int(i)].as_py().encode("utf-8", "surrogatepass")[:max_bytes] for i in np.flatnonzero(langs == lang)]
+            own = [START + batch.column(1)[int(i)].as_py().encode("utf-8", "surrogatepass") for i in np.flatnonzero(langs == lang)]
             code, n = np.unique(np.concatenate([grams(np.frombuffer(t, np.uint8)) for t in own]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code), pa.string()), pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "code", "n"])
 
