@@ -35,8 +35,10 @@ def normalize_contacts(df: DataFrame, always=(S.HOT_PHONE, S.WHATSAPP_PHONE), op
 
 
 def campaign_base(df: DataFrame, weekday_headers=S.WEEKDAY_COLUMNS) -> DataFrame:
-    """Project to the 64 campaign columns with prices rounded to 4 digits."""
-    return round_prices(df.select(*S.base_columns(weekday_headers)))
+    """Project to the 64 campaign columns, and to Flag and Score where ``df``
+    has them, with prices rounded to 4 digits."""
+    extra = [c for c in S.OPTIONAL_COLUMNS if c in df.columns]
+    return round_prices(df.select(*S.base_columns(weekday_headers), *extra))
 
 
 def assign_channels(df: DataFrame, channel: str = S.CHANNEL, mobile: str = S.MOBILE,

@@ -27,7 +27,8 @@ from offerline.sources.io import read_input, read_table, write_message_loads, wr
 
 def prepare_base(base: DataFrame, insights: DataFrame, hot_contacts: DataFrame, whatsapp_contacts: DataFrame,
                  weekday_headers=S.WEEKDAY_COLUMNS, strict_phones: bool = False) -> DataFrame:
-    """Typed, enriched 64-column campaign base with phones and channels."""
+    """Typed, enriched 64-column campaign base with phones and channels, and
+    the insights' Flag and Score where they have them."""
     cleaned = clean_base(base)
     enriched = enrich_base(cleaned, insights, hot_contacts, whatsapp_contacts)
     with_phones = normalize_contacts(enriched, strict=strict_phones)
@@ -57,7 +58,7 @@ def message_job(campaign: DataFrame, mode: str = "aligned", phone_policy: str =
 
 
 def board_job(campaign: DataFrame, channels=None, display: bool = True) -> DataFrame:
-    loads = board_loads(campaign, channels)
+    loads = board_loads(campaign.drop(*S.OPTIONAL_COLUMNS), channels)
     return display_columns(loads) if display else loads
 
 

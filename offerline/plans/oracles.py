@@ -87,6 +87,7 @@ def campaign_ctes() -> str:
             select.append(f"{landline('ctext')} AS fone_2")
         else:
             select.append(c)
+    select += ["score", "flag"]
     return f"""
 base0 AS ({_f(standin.BASE_SQL)}),
 ins AS ({_f(standin.INSIGHTS_SQL)}),
@@ -251,7 +252,7 @@ def conformed_select(src: str) -> str:
             out.append(f"strftime({col}, '%Y-%m-%d') AS \"{name}\"")
         else:
             out.append(f"CAST({col} AS VARCHAR) AS \"{name}\"")
-    out += ["'' AS score", "'' AS flag"]
+    out += ["score", "flag"]
     return ", ".join(out)
 
 
@@ -444,8 +445,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT c_custkey, '240425' || printf('%06d', ROW_NUMBER() OVER (ORDER BY c_custkey)), '2024-04-25' "
         "FROM customer WHERE c_nationkey >= 10")
     q["mailing_two_days"] = (
-        "SELECT o_orderkey, o_custkey, '2024-04-24' AS dt_mailing FROM orders WHERE o_orderkey % 2 = 0 UNION ALL "
-        "SELECT o_orderkey, o_custkey, '2024-04-25' FROM orders WHERE o_orderkey % 5 = 0")
+        "SELECT o_orderkey, o_custkey, '2024-04-24' AS dt_mailing FROM orders UNION ALL "
+        "SELECT o_orderkey, o_custkey + 2, '2024-04-25' FROM orders")
     strict = {}
     for kind, pattern in (("mobile", MOBILE_PATTERN), ("landline", LANDLINE_PATTERN)):
         bounded = "(^|[^0-9])(" + "(" + pattern[3:] + ")([^0-9]|$)"

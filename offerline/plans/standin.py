@@ -143,32 +143,37 @@ BASE_FROM = (
 
 BASE_SQL = "SELECT " + ", ".join(f"{e} AS {a}" for a, e in BASE_EXPRESSIONS.items()) + " FROM " + BASE_FROM
 
+def listed(condition: str) -> str:
+    """The code of an order, negative where ``condition`` fails: every order
+    is in the list, and some codes match no client."""
+    return f"CAST(CASE WHEN {condition} THEN o_orderkey ELSE -o_orderkey END AS STRING)"
+
+
 INSIGHTS_SQL = (
-    "SELECT CAST(o_orderkey AS STRING) AS sap_code, CAST(o_custkey AS STRING) AS cnpj, "
+    f"SELECT {listed('o_orderkey % 2 = 0')} AS sap_code, CAST(o_custkey AS STRING) AS cnpj, "
     "CAST(o_orderkey % 100 AS STRING) AS score, CASE WHEN o_orderkey % 4 = 0 THEN 'A' ELSE 'B' END AS flag "
-    "FROM {orders} WHERE o_orderkey % 2 = 0"
+    "FROM {orders}"
 )
 
 HOT_CONTACTS_SQL = (
-    "SELECT CAST(o_orderkey AS STRING) AS codigo_sap, "
+    f"SELECT {listed('o_orderkey % 5 <> 0')} AS codigo_sap, "
     "CASE WHEN o_orderkey % 7 = 0 THEN 'Não' ELSE 'Sim' END AS podemos_atuar, "
-    f"{mobile_text('o_orderkey')} AS telefone_contato_2 FROM {{orders}} WHERE o_orderkey % 5 <> 0 "
+    f"{mobile_text('o_orderkey')} AS telefone_contato_2 FROM {{orders}} "
     "UNION ALL "
-    f"SELECT CAST(o_orderkey AS STRING), 'Sim', {intl_text('o_orderkey + 1')} FROM {{orders}} WHERE o_orderkey % 13 = 0"
+    f"SELECT {listed('o_orderkey % 13 = 0')}, 'Sim', {intl_text('o_orderkey + 1')} FROM {{orders}}"
 )
 
 WHATSAPP_CONTACTS_SQL = (
-    f"SELECT CAST(o_orderkey AS STRING) AS codigo_sap, {intl_text('o_orderkey * 3')} AS whatsapp_telefone "
-    "FROM {orders} WHERE o_orderkey % 3 = 0"
+    f"SELECT {listed('o_orderkey % 3 = 0')} AS codigo_sap, {intl_text('o_orderkey * 3')} AS whatsapp_telefone "
+    "FROM {orders}"
 )
 
 # Ids already issued: some codes on the run date, others the day before.
 REGISTRY_SQL = (
-    f"SELECT o_orderkey AS cod_sap, '240425' || LPAD(CAST(o_orderkey AS STRING), 6, '0') AS id_oportunidade, "
-    f"DATE '{RUN_DATE}' AS dt_oportunidade FROM {{orders}} WHERE o_orderkey % 4 = 1 "
-    "UNION ALL "
-    f"SELECT o_orderkey, '240424' || LPAD(CAST(o_orderkey AS STRING), 6, '0'), DATE '{PREVIOUS_DATE}' "
-    "FROM {orders} WHERE o_orderkey % 4 = 2"
+    "SELECT o_orderkey AS cod_sap, CASE WHEN o_orderkey % 4 = 1 THEN '240425' ELSE '240424' END "
+    "|| LPAD(CAST(o_orderkey AS STRING), 6, '0') AS id_oportunidade, "
+    f"CASE WHEN o_orderkey % 4 = 1 THEN DATE '{RUN_DATE}' ELSE DATE '{PREVIOUS_DATE}' END AS dt_oportunidade "
+    "FROM {orders}"
 )
 
 # Synthetic contact rows per customer (phone fields of every shape).

@@ -189,23 +189,11 @@ def base_columns(weekday_headers=WEEKDAY_COLUMNS) -> list[str]:
 
 
 def mailing_renames(weekday_headers=WEEKDAY_COLUMNS) -> dict[str, str]:
-    """Header -> table column; a new week's weekday headers get snake names."""
+    """Header -> table column. Another week's weekday headers take the table
+    columns of the same positions, so all weeks fit one table."""
     renames = dict(MAILING_RENAMES)
-    if tuple(weekday_headers) != WEEKDAY_COLUMNS:
-        for old in WEEKDAY_COLUMNS:
-            renames.pop(old)
-        for h in weekday_headers:
-            renames[h] = snake_weekday(h)
-    return renames
-
-
-def snake_weekday(header: str) -> str:
-    """'Terça Feira - 16/04' -> 'terca_feira_16_04' (weekday headers only)."""
-    import re
-    import unicodedata
-
-    plain = unicodedata.normalize("NFKD", header).encode("ascii", "ignore").decode()
-    return re.sub(r"[^0-9a-z]+", "_", plain.lower()).strip("_")
+    columns = [renames.pop(old) for old in WEEKDAY_COLUMNS]
+    return renames | dict(zip(weekday_headers, columns, strict=True))
 
 
 def mailing_schema(weekday_headers=WEEKDAY_COLUMNS) -> T.StructType:

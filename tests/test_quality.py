@@ -82,3 +82,27 @@ def test_conform_types(spark):
     assert schema_mismatches(out, S.mailing_schema()) == []
     r = out.first()
     assert r.score == "" and r.flag == "" and r.distancia == 1.0 and r.vedi_dat_ven == dt.date(2024, 4, 25)
+
+
+def test_weeks_share_the_mailing_columns(spark):
+    from offerline import schemas as S
+    from offerline.operators.publish import conform
+
+    week = ("Ter - 23/04", "Qua - 24/04", "Qui - 25/04", "Sex - 26/04", "Seg - 29/04")
+    rows = [tuple(str(i) for i in range(len(S.BASE_COLUMNS)))]
+    one, two = (conform(spark.createDataFrame(rows, S.base_columns(w)).withColumn(S.SALE_DATE, F.lit("2024-04-25"))
+                        .withColumns({c: F.lit(1.0) for c in S.DISPLAY_FORMATS if c != S.SALE_DATE}), w)
+                for w in (S.WEEKDAY_COLUMNS, week))
+    assert one.schema == two.schema and one.collect() == two.collect()
+
+
+def test_score_and_flag_come_from_the_insights(spark):
+    from offerline import schemas as S
+    from offerline.operators.contacts import campaign_base
+    from offerline.operators.publish import add_missing_columns
+
+    base = spark.createDataFrame([tuple("1" for _ in S.BASE_COLUMNS)], list(S.BASE_COLUMNS)).withColumns({S.PRICE: F.lit(1.0), S.LIMIT_PRICE: F.lit(1.0)})
+    row = add_missing_columns(campaign_base(base.withColumns({"Score": F.lit("7"), "Flag": F.lit("A")}))).first()
+    assert (row["Score"], row["Flag"]) == ("7", "A")
+    row = add_missing_columns(campaign_base(base)).first()
+    assert (row["Score"], row["Flag"]) == ("", "")
