@@ -1,7 +1,7 @@
 """A training-corpus pipeline of five of the operators over ``documents``.
 
 Each stage reads its predecessor's stored rows, keeps the columns of
-documents (the last returns packed pieces) and drops what it decides to drop:
+documents (the last returns packed pieces and sequences) and drops what it decides to drop:
 
 1. quality: documents that the nearest-neighbour classifier rejects go;
 2. near-duplicates: one document of each SimHash component stays;
@@ -61,8 +61,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row a piece of the packed sequences."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """One row a piece of the packed sequences; a sequence's first piece
+    (offset 0) holds the padded ids of the whole of it."""
+    return packing.read_back(packing.sequences(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))), whole=True)
 
 
 def _stage(fn):

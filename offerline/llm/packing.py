@@ -83,38 +83,43 @@ def plan(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return number, offset
 
 
-PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
+BATCH_TOKENS = 1 << 20      # ids of one batch of pieces
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW, with_ids: bool = False,
+def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces of every document, in order; ``ids`` as little-endian
-    unsigned 32-bit integers when asked for."""
+    unsigned 32-bit integers."""
     def run(batch: pa.RecordBatch):
-        keys = batch.column(0).to_pylist()
-        cols: list[list] = [[] for _ in range(6)]
-        for key, ids in zip(keys, encoder(tokenizer).encode([x.as_py() for x in batch.column(1)])):
-            ids = np.append(ids, np.uint32(end_id))
-            for at in range(0, len(ids), window):
-                part = ids[at:at + window]
-                for col, x in zip(cols, (key, at, len(part), crc(part), len(ids), part.astype("<u4").tobytes() if with_ids else None)):
-                    col.append(x)
-        arrays = [pa.array(c, pa.int64()) for c in cols[:5]]
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-        if with_ids:
-            arrays, names = [*arrays, pa.array(cols[5], pa.binary())], [*names, "ids"]
-        yield pa.RecordBatch.from_arrays(arrays, names)
+        rows: list[tuple] = []
+        held = 0
+        for key, ids in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode([x.as_py() for x in batch.column(1)])):
+            data = np.append(ids, np.uint32(end_id)).astype("<u4").tobytes()
+            n = len(data) // 4
+            rows += [(key, at, min(window, n - at), n, data[4 * at:4 * (at + window)]) for at in range(0, n, window)]
+            held += n
+            if held >= BATCH_TOKENS:
+                yield _table(rows)
+                rows, held = [], 0
+        if rows:
+            yield _table(rows)
+
+    return common.map_batches(docs.select(F.col(id_col).cast("long").alias("i"), common.text_of(text_col).alias("t")), run, PIECE)
 
-    return common.map_batches(docs.select(F.col(id_col).cast("long").alias("i"), common.text_of(text_col).alias("t")), run,
-                              PIECE + ", ids binary" * with_ids)
 
+def _table(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows))
+    return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())],
+                                      ["doc_id", "start", "length", "doc_tokens", "ids"])
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW, with_ids: bool = False,
+
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW,
          group: int = GROUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pieces with sequence_id and offset (and ids when asked for)."""
-    cut = common.materialize(pieces(docs, tokenizer, end_id, window, with_ids, id_col, text_col), "pieces")
-    rows = cut.withColumn("row", F.monotonically_increasing_id())   # of a stored table: the same on every read
-    full = rows.filter(F.col("length") == window).select("*", (F.col("row") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    """The pieces with their ids, sequence_id and offset."""
+    cut = pieces(docs, tokenizer, end_id, window, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    rows = common.materialize(cut, "pieces")
+    full = rows.filter(F.col("length") == window).withColumns({"sequence_id": F.col("row") * 2, "offset": F.lit(0).cast("long")})
     rest = rows.filter(F.col("length") < window)
     groups = max(1, -(-rest.count() // group))
 
@@ -125,16 +130,61 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW,
 
     placed = (rest.select("row", "length", F.pmod(F.xxhash64("row"), F.lit(groups)).alias("g"))
               .groupBy("g").applyInPandas(common.trimming_groups(run), "row long, sequence_id long, offset long"))
-    return full.unionByName(rest.join(placed, "row")).drop("row")
+    return full.unionByName(rest.join(placed.hint("shuffle_hash"), "row")).drop("row")
 
 
 def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:
-    """(sequence_id, n_tokens, ids): whole sequences, padded unless their
-    fill is a power of two; ``packed`` with ids."""
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        ids = np.frombuffer(b"".join(frame.sort_values("offset")["ids"]), "<u4")
-        more = padding(len(ids), window)
-        return pd.DataFrame({"sequence_id": [key[0]], "n_tokens": [len(ids)],
-                             "ids": [np.concatenate([ids, np.full(more, pad_id)]).astype(np.int32)]})
+    """(sequence_id, n_tokens, ids, pieces): whole sequences with every piece
+    at its offset, padded unless their fill is a power of two; ``ids`` as in
+    ``packed``, the pieces' doc_id, start and doc_tokens by offset."""
+    piece = F.struct("offset", "doc_id", "start", "doc_tokens", "ids").alias("p")
+    # A piece of full length is a sequence as it is.
+    full = packed.filter(F.col("length") == window).select("sequence_id", F.array(piece).alias("pieces"))
+    rest = (packed.filter(F.col("length") < window).select("sequence_id", piece)
+            .groupBy("sequence_id").agg(F.array_sort(F.collect_list("p")).alias("pieces")))
+    facts = pa.struct([(c, pa.int64()) for c in ("offset", "doc_id", "start", "doc_tokens")])
+
+    def run(batch: pa.RecordBatch):
+        lists = batch.column(1)
+        flat = lists.flatten()
+        cols = dict(zip([f.name for f in flat.type], flat.flatten()))
+        ids, offsets = cols["ids"], cols["offset"].to_pylist()
+        cuts = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+        sizes, built = [], []
+        for a, b in zip(cuts, cuts[1:]):
+            parts = [ids[i].as_buffer() for i in range(a, b)]
+            n = sum(p.size for p in parts) // 4
+            out = np.full(n + padding(n, window), pad_id, "<u4")
+            for at, p in zip(offsets[a:b], parts):
+                out[at:at + p.size // 4] = np.frombuffer(p, "<u4")
+            sizes.append(n)
+            built.append(out.tobytes())
+        own = pa.StructArray.from_arrays([cols[f.name] for f in facts], fields=list(facts))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(built, pa.binary()),
+                                          pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), own)], ["sequence_id", "n_tokens", "ids", "pieces"])
+
+    return common.map_batches(full.unionByName(rest), run, "sequence_id long, n_tokens long, ids binary, "
+                              "pieces array<struct<offset:long,doc_id:long,start:long,doc_tokens:long>>")
+
+
+def read_back(seqs: DataFrame, whole: bool = False) -> DataFrame:
+    """One row a piece, its length and ids_crc32 from the slice of its
+    sequence at its offset. With ``whole`` the sequence's ids, padding
+    included, stand on the row of its first piece (``sequence``)."""
+    def run(batch: pa.RecordBatch):
+        cols: list[list] = [[] for _ in range(8)]
+        for number, n, data, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
+            ids = np.frombuffer(data.as_buffer(), "<u4")
+            for p, stop in zip(own, [q["offset"] for q in own[1:]] + [n]):
+                part = ids[p["offset"]:stop]
+                for col, x in zip(cols, (p["doc_id"], p["start"], len(part), crc(part), p["doc_tokens"], number, p["offset"],
+                                         ids.astype(np.int32) if whole and p["offset"] == 0 else None)):
+                    col.append(x)
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        arrays = [pa.array(c, pa.int64()) for c in cols[:7]]
+        if whole:
+            arrays, names = [*arrays, pa.array(cols[7], pa.list_(pa.int32()))], [*names, "sequence"]
+        yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return packed.groupBy("sequence_id").applyInPandas(common.trimming_groups(run), "sequence_id long, n_tokens long, ids array<int>")
+    return common.map_batches(seqs, run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+                              + ", sequence array<int>" * whole)

@@ -32,7 +32,8 @@ def op3_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    packed = packing.pack(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.read_back(packing.sequences(packed))
 
 
 def op5_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -544,3 +544,51 @@ def test_pipeline_near_duplicates_without_ids(spark, sf):
     got = stage(spark, rows, sf)
     assert tuple(got.columns) == corpus_pipeline.COLUMNS
     assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(4, long[0]), (None, long[1]), (2, long[2]), (7, None)]))
+
+
+def test_op4_sequences_hold_the_ids(spark, sf, encoders):
+    import corpus_pipeline
+    from offerline.llm import common, packing
+    import public_tokenizers
+
+    common.ship_package(spark)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    fixture = common.table(spark, sf, "documents")
+    encode = lambda t: encoders["byte_bpe_50k.json"].encode(t or "", add_special_tokens=False).ids + [0]
+    ids = collections.Counter((r.doc_id, tuple(encode(r.text))) for r in fixture.select("doc_id", "text").collect())
+    seqs = {r.sequence_id: r for r in packing.sequences(packing.pack(fixture, path), pad_id=7).collect()}
+    stage = dict(corpus_pipeline.STAGES)["packing"](spark, fixture, sf)
+    for got, pad in ((list(seqs.values()), 7), ([r for r in stage.collect() if r.offset == 0], 0)):
+        fills = []
+        for r in got:
+            data = np.frombuffer(r.ids, "<u4").tolist() if pad else list(r.sequence)
+            if pad:
+                n = r.n_tokens
+                assert data[n:] == [pad] * (len(data) - n)
+                fills.append(n)
+            assert len(data) == 1024 or len(data) & (len(data) - 1) == 0
+    # Documents put together again from the sequences alone.
+    whole = collections.defaultdict(list)
+    for r in seqs.values():
+        data = np.frombuffer(r.ids, "<u4").tolist()
+        for p, stop in zip(r.pieces, [q.offset for q in r.pieces[1:]] + [r.n_tokens]):
+            whole[p.doc_id].append((p.start, data[p.offset:stop]))
+    want = collections.defaultdict(list)
+    for (i, t), n in ids.items():
+        want[i] += [(a, list(t[a:a + 1024])) for a in range(0, len(t), 1024)] * n
+    assert {i: sorted(x) for i, x in whole.items()} == {i: sorted(x) for i, x in want.items()}
+    rows = stage.collect()
+    held = {r.sequence_id: r.sequence for r in rows if r.sequence is not None}
+    assert set(held) == {r.sequence_id for r in rows}
+    assert all(zlib.crc32(np.array(held[r.sequence_id][r.offset:r.offset + r.length], "<u4").tobytes()) == r.ids_crc32 for r in rows)
+
+
+@pytest.mark.parametrize("fill, size", [(1, 1), (2, 2), (3, 8), (4, 4), (5, 8), (7, 8), (8, 8)])
+def test_op4_power_of_two_is_not_padded(spark, fill, size):
+    from offerline.llm import packing
+
+    parts = [(1, 0, n, 9, np.arange(1, n + 1, dtype="<u4").tobytes(), 3, at) for n, at in ([(fill, 0)] if fill in (1, 8) else [(1, 0), (fill - 1, 1)])]
+    packed = spark.createDataFrame(parts[::-1], packing.PIECE + ", sequence_id long, offset long")
+    got, = packing.sequences(packed, window=8, pad_id=7).collect()
+    ids = [x for n, *_ in [(p[2],) for p in parts] for x in range(1, n + 1)]
+    assert (got.n_tokens, np.frombuffer(got.ids, "<u4").tolist()) == (fill, ids + [7] * (size - fill))
