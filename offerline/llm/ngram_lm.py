@@ -1,10 +1,12 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-The model is a trigram model by absolute discounting with a discount of one,
-interpolated down to the word frequencies: p = a3 + l3 (a2 + l2 p1), where a
-is (count - 1) / count of the context and l the context's distinct successors
-/ its count. N-grams seen once thus weigh through their contexts only. An
-unknown word has the mass that discounting takes from the known ones.
+The model is a trigram model by absolute discounting, interpolated down to
+the word frequencies: p = a3 + l3 (a2 + l2 p1), where a is (count - d) / count
+of the context and l is d times the context's distinct successors / its count.
+Each order has its discount d, ones / (ones + 2 twos) of the order's n-grams
+seen once and twice in all shards. N-grams seen once are in the levels like
+any other. An unknown word has the mass that discounting takes from the known
+ones.
 
 The trie is cut by context word (a frequent one also by the word before it),
 so every shard is of bounded size and holds all it needs. A shard's levels --
@@ -17,7 +19,8 @@ byte on a logarithmic scale. A shard's file is memory-mapped and queried by
 successor search.
 
 Documents are grouped in blocks. A block sends its distinct words to the
-shards that count them, then its distinct trigrams to the trie shards, and
+shards that count them, then its distinct trigrams to the trie shards, which
+are stored until the discounts are known, and
 gets one answer for each in the order sent; so texts never move, and a
 frequent n-gram travels once a block. Words are known by 64-bit hashes.
 
@@ -233,31 +236,29 @@ class TrieShard:
         self.next_at = self.seq["next_at"].values().astype(np.int64)
 
     @staticmethod
-    def write(file, tri: tuple, bi: tuple) -> None:
+    def write(file, tri: tuple, bi: tuple, d3: float, d2: float) -> None:
         """Build from (nearer word, word before, word, count) and, for the
-        words in it, (nearer word, word, count), counts above zero."""
+        words in it, (nearer word, word, count), counts above zero; ``d3``
+        and ``d2`` are the discounts of trigrams and bigrams."""
         (t1, t2, tw), tn = grouped(tri[3], *tri[:3])
         (b1, bw), bn = grouped(bi[2], *bi[:2])
         universe = int(max([0, *(int(x.max()) for x in (t1, t2, tw, b1, bw) if len(x))])) + 1
         near, at, types = np.unique(b1, return_inverse=True, return_counts=True)
         total = np.bincount(at, weights=bn, minlength=len(near))
-        keep = bn > 1
-        owner, word = at[keep], bw[keep]
-        next_at = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(near)))]).astype(np.int64)
-        next_key = owner.astype(U) * U(universe) + word.astype(U)
+        next_at = np.concatenate([[0], np.cumsum(types)]).astype(np.int64)
+        next_key = at.astype(U) * U(universe) + bw.astype(U)
         place = np.searchsorted(near, t1)
         pair_key = place.astype(U) * U(universe) + t2.astype(U)
         pair, own, kinds = np.unique(pair_key, return_inverse=True, return_counts=True)
         pair_total = np.bincount(own, weights=tn, minlength=len(pair))
-        often = tn > 1
-        child = np.searchsorted(next_key, place[often].astype(U) * U(universe) + tw[often].astype(U)) - next_at[place[often]]
+        child = np.searchsorted(next_key, place.astype(U) * U(universe) + tw.astype(U)) - next_at[place]
         span = int(child.max()) + 1 if len(child) else 1
-        far = own[often].astype(U) * U(span) + child.astype(U)
+        far = own.astype(U) * U(span) + child.astype(U)
         order = np.argsort(far, kind="stable")
         seqs = {"near": (near, universe), "next": (next_key, universe * max(1, len(near))), "next_at": (next_at, len(next_key) + 1),
                 "pair": (pair, universe * max(1, len(near))), "far": (far[order], span * max(1, len(pair)))}
-        codes = {"near": quantised(types / np.maximum(total, 1)), "next": quantised((bn[keep] - 1) / total[owner]),
-                 "pair": quantised(kinds / np.maximum(pair_total, 1)), "far": quantised(((tn[often] - 1) / pair_total[own[often]])[order])}
+        codes = {"near": quantised(d2 * types / np.maximum(total, 1)), "next": quantised((bn - d2) / total[at]),
+                 "pair": quantised(d3 * kinds / np.maximum(pair_total, 1)), "far": quantised(((tn - d3) / pair_total[own])[order])}
         shape, body, offset = {"universe": universe, "span": span, "seq": {}, "codes": {}}, [], 0
 
         def put(x):
@@ -363,24 +364,52 @@ def joined_words(block: dict, answers: list, shards: int) -> tuple[np.ndarray, n
     return number, count
 
 
-def answer_trigrams(messages: DataFrame) -> DataFrame:
+def received(messages: list[bytes]) -> tuple:
+    """Trigrams and their counts as the blocks sent them to a shard, the
+    training trigrams and bigrams among them, which of the bigrams came
+    counted, and the number of trigrams of each message."""
+    data = [_unpacked(x) for x in messages]
+    h1, h2, w, n = (np.concatenate([d[x].astype(np.int64) for d in data]) for x in ("h1", "h2", "w", "n"))
+    p1, pw, pn = (np.concatenate([d[x].astype(np.int64) for d in data]) for x in ("p1", "pw", "pn"))
+    seen = n > 0
+    own = seen & ~np.isin(h1, np.unique(p1))        # words whose pairs all lie here
+    bi = tuple(np.concatenate(x) for x in ((p1, h1[own]), (pw, w[own]), (pn, n[own])))
+    return (h1, h2, w), (h1[seen], h2[seen], w[seen], n[seen]), bi, np.arange(len(bi[0])) < len(p1), [len(d["w"]) for d in data]
+
+
+def gather_trigrams(messages: DataFrame, shards: int) -> DataFrame:
+    """(shard, blocks, data, ones3, twos3, ones2, twos2): what the blocks sent
+    to each shard, and how many trigrams and bigrams the training rows hold
+    once and twice. A bigram that went to several shards counts in the first."""
+    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+        _, tri, bi, dealt, _ = received(list(frame["data"]))
+        here = ~dealt | (mix(bi[0].astype(U)) % U(shards) == U(int(key[0])))
+        n3, n2 = grouped(tri[3], *tri[:3])[1], grouped(bi[2][here], bi[0][here], bi[1][here])[1]
+        return pd.DataFrame([(int(key[0]), list(frame["block"]), list(frame["data"]), *(int((n == k).sum()) for n in (n3, n2) for k in (1, 2)))],
+                            columns=["shard", "blocks", "data", "ones3", "twos3", "ones2", "twos2"])
+
+    return messages.groupBy("shard").applyInPandas(
+        common.trimming_groups(run), "shard int, blocks array<string>, data array<binary>, ones3 long, twos3 long, ones2 long, twos2 long")
+
+
+def answer_trigrams(gathered: DataFrame, d3: float, d2: float) -> DataFrame:
     """(block, shard, data): builds each shard's trie from the training counts
     and looks up what the blocks sent."""
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        data = [_unpacked(x) for x in frame["data"]]
-        h1, h2, w, n = (np.concatenate([d[x].astype(np.int64) for d in data]) for x in ("h1", "h2", "w", "n"))
-        p1, pw, pn = (np.concatenate([d[x].astype(np.int64) for d in data]) for x in ("p1", "pw", "pn"))
-        seen = n > 0
-        own = seen & ~np.isin(h1, np.unique(p1))        # words whose pairs all lie here
-        bi = tuple(np.concatenate(x) for x in ((p1, h1[own]), (pw, w[own]), (pn, n[own])))
-        with tempfile.TemporaryFile() as file:
-            TrieShard.write(file, (h1[seen], h2[seen], w[seen], n[seen]), bi)
-            codes = TrieShard(file).query(h1, h2, w)
-        ends = np.cumsum([len(d["w"]) for d in data])
-        return pd.DataFrame([(b, int(key[0]), _packed(codes=c)) for b, c in zip(frame["block"], np.split(codes, ends[:-1], axis=1))],
-                            columns=["block", "shard", "data"])
+    def run(batch: pa.RecordBatch):
+        for i in range(batch.num_rows):
+            asked, tri, bi, _, sizes = received(batch.column(2)[i].as_py())
+            with tempfile.TemporaryFile() as file:
+                TrieShard.write(file, tri, bi, d3, d2)
+                codes = TrieShard(file).query(*asked)
+            parts = [_packed(codes=c) for c in np.split(codes, np.cumsum(sizes)[:-1], axis=1)]
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column(1)[i].as_py(), pa.string()), pa.array([batch.column(0)[i].as_py()] * len(parts), pa.int32()),
+                                              pa.array(parts, pa.binary())], ["block", "shard", "data"])
+
+    return common.map_batches(gathered.select("shard", "blocks", "data"), run, "block string, shard int, data binary")
+
 
-    return messages.groupBy("shard").applyInPandas(common.trimming_groups(run), "block string, shard int, data binary")
+def discount_of(ones: int, twos: int) -> float:
+    return ones / (ones + 2 * twos) if ones else 0.5
 
 
 def scores(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -392,14 +421,14 @@ def scores(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "t
     counted = common.materialize(count_words(rows, shards), "words")
     sums = counted.filter("block is null").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "types", "ones", "twos")]).first()
     total, types, ones, twos = sums["tokens"], sums["types"], sums["ones"], sums["twos"]
-    discount = ones / (ones + 2 * twos) if ones else 0.5
+    discount = discount_of(ones, twos)
 
     def store(name, ids, held, sizes, vocab, local):
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([_packed(ids=ids, held=held, sizes=sizes, vocab=vocab, local=local)], pa.binary())], ["block", "tokens"])
 
     stored = each_block(rows, store, "block string, tokens binary")
     words = counted.filter("block is not null").groupBy("block").agg(F.collect_list(F.struct("shard", "data")).alias("words"))
-    known = stored.join(words.hint("shuffle_hash"), "block")
+    known = common.materialize(stored.join(words.hint("shuffle_hash"), "block"), "blocks")
 
     def ask(batch: pa.RecordBatch):
         for i in range(batch.num_rows):
@@ -409,7 +438,10 @@ def scores(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "t
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int32()), pa.array([batch.column(0)[i].as_py()] * len(out), pa.string()),
                                               pa.array([d for _, d in out], pa.binary())], ["shard", "block", "data"])
 
-    looked = answer_trigrams(common.map_batches(known.select("block", "tokens", "words"), ask, "shard int, block string, data binary"))
+    asked = common.map_batches(known.select("block", "tokens", "words"), ask, "shard int, block string, data binary")
+    gathered = common.materialize(gather_trigrams(asked, shards), "trigrams")
+    seen = gathered.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ones3", "twos3", "ones2", "twos2")]).first()
+    looked = answer_trigrams(gathered, discount_of(seen["ones3"], seen["twos3"]), discount_of(seen["ones2"], seen["twos2"]))
     found = looked.groupBy("block").agg(F.collect_list(F.struct("shard", "data")).alias("found"))
 
     def add(batch: pa.RecordBatch):

@@ -592,3 +592,45 @@ def test_op4_power_of_two_is_not_padded(spark, fill, size):
     got, = packing.sequences(packed, window=8, pad_id=7).collect()
     ids = [x for n, *_ in [(p[2],) for p in parts] for x in range(1, n + 1)]
     assert (got.n_tokens, np.frombuffer(got.ids, "<u4").tolist()) == (fill, ids + [7] * (size - fill))
+
+
+def test_op1_discount_of_each_order(spark, sf, docs, monkeypatch):
+    import math
+
+    from offerline.llm import ngram_lm
+
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 40_000)     # several shards and split context words
+    texts = [words(r["text"]) + ["end"] for r in docs]
+    n = [collections.Counter() for _ in range(4)]
+    for r, t in zip(docs, texts):
+        if zlib.crc32(str(r["doc_id"]).encode()) % 7 != 2:
+            p = ["s", "s", *t]
+            for k in (1, 2, 3):
+                n[k].update(tuple(p[i - k + 1:i + 1]) for i in range(2, len(p)))
+    d = [0.0] + [(ones := sum(x == 1 for x in c.values())) / (ones + 2 * sum(x == 2 for x in c.values())) for c in n[1:]]
+    assert 0 < d[2] < 1 and 0 < d[3] < 1
+    total, types = sum(n[1].values()), len(n[1])
+    ctx, succ = collections.Counter(), collections.Counter()
+    for k in (2, 3):
+        for g, x in n[k].items():
+            ctx[g[:-1]] += x
+            succ[g[:-1]] += 1
+
+    def q(x):
+        return 10 ** (-math.ceil(-math.log10(x) * 32 - 1e-9) / 32) if x > 0 else 0.0
+
+    want, once = {}, 0
+    for r, t in zip(docs, texts):
+        p, score = ["s", "s", *t], 0.0
+        for i in range(2, len(p)):
+            at = (n[1][p[i],] - d[1] if n[1][p[i],] else d[1] * types) / total
+            for k in (2, 3):
+                g = tuple(p[i - k + 1:i + 1])
+                if c := ctx[g[:-1]]:
+                    at = q((n[k][g] - d[k]) / c if n[k][g] else 0) + q(d[k] * succ[g[:-1]] / c) * at
+                once += n[k][g] == 1
+            score += math.log10(at)
+        want.setdefault(r["doc_id"], []).append(score)
+    assert once
+    for r in run(spark, "op1_ngram_lm", sf):
+        assert any(abs(r["score"] - w) < 1e-6 * (1 - w) for w in want[r["doc_id"]]), (list(r.values()), want[r["doc_id"]])
