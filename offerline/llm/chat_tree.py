@@ -132,24 +132,28 @@ def nodes(convs: DataFrame, tokenizer: str) -> DataFrame:
 
 def read_back(convs: DataFrame, tree: DataFrame, tokenizer: str) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
-    formatted_chars), decoded from the tree's tokens: a node once, then a
-    conversation from its nodes."""
+    formatted_chars, position_start, n_ancestors), decoded from the tree's
+    tokens: a node once, then a conversation from the intervals of the token
+    stream that its last node attends to. position_start and n_ancestors are
+    those of the last node."""
     def decode(batch: pa.RecordBatch):
         tokenizer_ = encoder(tokenizer).tokenizer
-        out = [[] for _ in range(4)]
+        out = [[] for _ in range(5)]
         for ids, at, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             formatted = tokenizer_.decode(ids, skip_special_tokens=False)
             role, text = parse_turn(formatted)
-            for col, x in zip(out, (role, text, unescape(tokenizer_.decode(ids[at:at + n], skip_special_tokens=False)), len(formatted))):
+            for col, x in zip(out, (role, text, unescape(tokenizer_.decode(ids[at:at + n], skip_special_tokens=False)), len(formatted), len(ids))):
                 col.append(x)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.string()) for c in out[:3]], pa.array(out[3], pa.int64())],
-                                         ["key", "role", "text", "loss", "chars"])
-
-    read = common.map_batches(tree.select("key", "ids", "loss_start", "loss_length"), decode,
-                              "key string, role string, text string, loss string, chars long")
-    ends = convs.select("conv_id", "rank", F.get("turns", F.size("turns") - 1)["key"].alias("leaf"))
-    kinds = ends.groupBy("leaf").agg(F.min("rank").alias("rank"))       # equal conversations are read once
-    turns = (steps(convs).select("rank", "depth", "key").join(kinds, "rank").join(read, "key")
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.string()) for c in out[:3]], *[pa.array(c, pa.int64()) for c in out[3:]]],
+                                         ["start", "role", "text", "loss", "chars", "length"])
+
+    read = common.map_batches(tree.select("stream_start", "ids", "loss_start", "loss_length"), decode,
+                              "start long, role string, text string, loss string, chars long, length long")
+    ends = convs.select("conv_id", F.get("turns", F.size("turns") - 1)["key"].alias("leaf"))
+    leaves = common.materialize(tree.withColumnRenamed("key", "leaf").join(ends.select("leaf").distinct(), "leaf", "left_semi").select(
+        "leaf", "position_start", "ancestors", F.struct(F.col("stream_start").alias("start"), F.col("n_tokens").alias("length")).alias("own")), "leaves")      # equal conversations are read once
+    attended = leaves.select("leaf", F.posexplode(F.concat("ancestors", F.array("own"))).alias("depth", "x")).select("leaf", "depth", "x.start", "x.length")
+    turns = (attended.join(read, ["start", "length"])
              .groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("depth", "role", "text", "loss", "chars"))).alias("turns")))
 
     def digest(batch: pa.RecordBatch):
@@ -164,4 +168,5 @@ def read_back(convs: DataFrame, tree: DataFrame, tokenizer: str) -> DataFrame:
                                          ["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
     digests = common.map_batches(turns, digest, "leaf string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
-    return ends.select("conv_id", "leaf").join(digests, "leaf").drop("leaf")
+    placed = leaves.select("leaf", "position_start", F.size("ancestors").cast("long").alias("n_ancestors"))
+    return ends.join(digests.join(placed, "leaf"), "leaf").drop("leaf")

@@ -634,3 +634,30 @@ def test_op1_discount_of_each_order(spark, sf, docs, monkeypatch):
     assert once
     for r in run(spark, "op1_ngram_lm", sf):
         assert any(abs(r["score"] - w) < 1e-6 * (1 - w) for w in want[r["doc_id"]]), (list(r.values()), want[r["doc_id"]])
+
+
+def test_op3_reads_through_the_intervals(spark, sf, encoders):
+    import public_tokenizers
+    from offerline.llm import chat_tree, common
+
+    rows = pq.read_table(f"{sf}/conversations.parquet").to_pylist()
+    convs = collections.defaultdict(list)
+    for r in rows:
+        convs[r["conv_id"]].append((r["turn"], r["role"] or "", r["text"] or ""))
+    size = lambda r, t: sum(len(encoders["byte_bpe_50k.json"].encode(x, add_special_tokens=False).ids) for x in chat_tree.format_turn(r, t))
+    got = {None if r["conv_id"] != r["conv_id"] else r["conv_id"]: r for r in run(spark, "op3_chat_prefix_tree", sf)}
+    for c, turns in convs.items():
+        turns.sort()
+        assert got[c]["n_ancestors"] == len(turns) - 1
+        assert got[c]["position_start"] == sum(size(r, t) for _, r, t in turns[:-1])
+    # Wrong intervals show in the digests.
+    common.ship_package(spark)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    few = chat_tree.conversations(spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "a"), (2, 0, "user", "yo"), (2, 1, "assistant", "b")],
+                                                        "conv_id long, turn long, role string, text string"))
+    tree = chat_tree.nodes(few, path)
+    starts = {r.ancestors[0].start for r in tree.collect() if r.depth}
+    wrong = tree.selectExpr("key", "rank", "depth", "n_tokens", "ids", "loss_start", "loss_length", "stream_start", "position_start",
+                            f"transform(ancestors, x -> named_struct('start', {sum(starts)}L - x.start, 'length', x.length)) AS ancestors")
+    right, swapped = ({r.conv_id: r.turns_sha256 for r in chat_tree.read_back(few, t, path).collect()} for t in (tree, wrong))
+    assert set(right) == set(swapped) == {1, 2} and all(right[c] != swapped[c] for c in right)
