@@ -31,17 +31,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the component's id stays, the first by text where an
-    id is repeated. A row without an id counts behind all others, equal texts
-    without one as one document."""
-    docs = docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))))
-    classes = simhash.near_duplicates(docs).filter("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(classes, "doc_id", "left_semi")
-    twice = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
-    # Repeated ids are rare: only their rows are sorted out.
-    again = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(
+    """One row of each component stays, that of the smallest id; where the
+    component holds an id with several texts, one of them by their hash. A row
+    without an id counts behind all others, equal texts without one as one
+    document."""
+    docs = docs.withColumns({"doc_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))),
+                             "key": F.xxhash64("text")})
+    first = simhash.representatives(docs, "key").withColumnRenamed("id", "doc_id")
+    kept = docs.join(first, ["doc_id", "key"], "left_semi")
+    twice = kept.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "key")
+    # Repeated rows are rare: only they are sorted out.
+    again = kept.join(twice, ["doc_id", "key"], "left_semi").groupBy("doc_id", "key").agg(F.min(F.struct(
         *[F.col(c) for c in COLUMNS[1:]])).alias("r")).select("doc_id", "r.*")
-    one = kept.join(twice, "doc_id", "left_anti").select(*COLUMNS).unionByName(again)
+    one = kept.join(twice, ["doc_id", "key"], "left_anti").select(*COLUMNS).unionByName(again)
     return one.withColumn("doc_id", F.when(F.col("doc_id") < NO_ID, F.col("doc_id")))
 
 

@@ -61,16 +61,17 @@ def fingerprint_of(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) per row; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """(id, fp) per row, and the long ``key_col`` as key; fp holds the 64 bits as a signed long."""
     def run(batch: pa.RecordBatch):
         out = np.empty(batch.num_rows, np.uint64)
         for i, text in enumerate(batch.column(1)):
             out[i] = fingerprint_of(np.array(shingle_hashes(text.as_py(), k), np.uint64))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64)), *batch.columns[2:]], ["id", "fp", "key"][:batch.num_columns])
 
-    return common.map_batches(docs.select(F.col(id_col).cast("long").alias("id"), common.text_of(text_col).alias("t")), run,
-                              "id long, fp long")
+    key = [F.col(key_col).alias("key")] if key_col else []
+    return common.map_batches(docs.select(F.col(id_col).cast("long").alias("id"), common.text_of(text_col).alias("t"), *key), run,
+                              "id long, fp long" + ", key long" * len(key))
 
 
 def grid_points(fps: DataFrame, radius: int, segments: int = SEGMENTS) -> DataFrame:
@@ -108,15 +109,29 @@ def links(fps: DataFrame, max_bits: int = 2, segments: int = SEGMENTS) -> DataFr
     return pairs.select(F.least("a.fp", "b.fp").alias("a"), F.greatest("a.fp", "b.fp").alias("b")).distinct()
 
 
+def with_roots(firsts: DataFrame, max_bits: int = 2, segments: int = SEGMENTS) -> DataFrame:
+    """(fp, first, root) of distinct fingerprints (fp, first); equal roots are one component."""
+    roots = common.connected_components(links(firsts, max_bits, segments))
+    return firsts.join(roots, firsts.fp == roots.node, "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def representatives(docs: DataFrame, key_col: str, k: int = 3, max_bits: int = 2, segments: int = SEGMENTS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, key) of one row of each component, the smallest; ``key_col`` (long)
+    tells rows with the same id apart."""
+    prints = common.materialize(fingerprints(docs, k, id_col, text_col, key_col), "simhash")
+    firsts = common.materialize(prints.groupBy("fp").agg(F.min(F.struct("id", "key")).alias("first")), "simhash-first")
+    return with_roots(firsts, max_bits, segments).groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.key")
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, max_bits: int = 2, segments: int = SEGMENTS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component_id) per row of ``docs``; component_id is the
     smallest id reachable over links of at most ``max_bits`` bits."""
     prints = common.materialize(fingerprints(docs, k, id_col, text_col), "simhash")
     firsts = common.materialize(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-first")
-    roots = common.connected_components(links(firsts, max_bits, segments))
-    rooted = firsts.join(roots, firsts.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = with_roots(firsts, max_bits, segments)
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(lowest, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("id", "fp", "component_id")

@@ -661,3 +661,18 @@ def test_op3_reads_through_the_intervals(spark, sf, encoders):
                             f"transform(ancestors, x -> named_struct('start', {sum(starts)}L - x.start, 'length', x.length)) AS ancestors")
     right, swapped = ({r.conv_id: r.turns_sha256 for r in chat_tree.read_back(few, t, path).collect()} for t in (tree, wrong))
     assert set(right) == set(swapped) == {1, 2} and all(right[c] != swapped[c] for c in right)
+
+
+def test_pipeline_near_duplicates_of_one_id(spark, sf):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+
+    def kept(*rows):
+        frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+        return sorted((r.doc_id, r.text) for r in stage(spark, frame, sf).collect())
+
+    assert kept((5, a), (5, b), (9, b), (9, b), (7, c), (7, c)) == [(5, a), (5, b), (7, c)]
+    # The second text of an id whose group has a smaller id goes, its first stays.
+    assert kept((5, a), (5, b), (3, b), (8, a)) == [(3, b), (5, a)]
