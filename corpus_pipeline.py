@@ -24,9 +24,12 @@ NO_ID = 1 << 62     # rows without an id are numbered from here while groups are
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Scores as the quality query has them; those under the threshold go."""
+    """Scores as the quality query has them; those under the threshold go.
+    Without a labelled document to learn from all stay."""
     labels = common.table(spark, sf_dir, "labels")
     space = quality_knn.fit(docs, labels, common.id_crc_mod("doc_id", 4) != 2)
+    if space is None:
+        return docs.select(*COLUMNS)
     return quality_knn.scores(docs, space, carry=COLUMNS).filter(F.col("score") >= KEEP_FROM).select(*COLUMNS)
 
 

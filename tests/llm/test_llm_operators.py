@@ -676,3 +676,13 @@ def test_pipeline_near_duplicates_of_one_id(spark, sf):
     assert kept((5, a), (5, b), (9, b), (9, b), (7, c), (7, c)) == [(5, a), (5, b), (7, c)]
     # The second text of an id whose group has a smaller id goes, its first stays.
     assert kept((5, a), (5, b), (3, b), (8, a)) == [(3, b), (5, a)]
+
+
+def test_pipeline_quality_without_labels(spark, sf, docs):
+    import corpus_pipeline
+    from offerline.llm import common
+
+    folder = tempfile.mkdtemp(prefix="offerline-llm-labels-")
+    write([], folder, "labels", schema=pq.read_schema(f"{SF}/labels.parquet"))
+    got = dict(corpus_pipeline.STAGES)["quality_classifier"](spark, common.table(spark, sf, "documents"), folder)
+    assert tuple(got.columns) == corpus_pipeline.COLUMNS and got.count() == len(docs)
