@@ -9,9 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerline.llm import (chat_tree, common, decontaminate, langid, ngram_lm, packing, quality_knn, rules, simhash,
+from offerline.llm import (chat_tree, common, conversation_trie, decontaminate, langid, ngram_lm, packing, quality_knn, rules, simhash,
                            suffix_dedup, token_store)
 
+from offerline.llm.oracles import OP11
+
 
 def op1_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.scores(common.table(spark, sf_dir, "documents"), common.id_crc_mod("doc_id", 7) != 2).withColumnRenamed("id", "doc_id")
@@ -78,6 +80,15 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.checksums(token_store.read_tokens(spark, path))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = conversation_trie.turns(common.table(spark, sf_dir, "conversations"))
+    nodes, ends = conversation_trie.trie(*conversation_trie.rebuilt(numbered))
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return nodes.join(conversation_trie.ends_digest(ends), "node", "left").select(
+        "conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", none).alias("ends_sha256"))
+
+
 def _shipped(fn):
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,5 +98,5 @@ def _shipped(fn):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (op1_ngram_lm, op2_suffix_dedup, op3_chat_prefix_tree, op4_packing, op5_quality_knn, op6_quality_rules, op7_language_ppm,
-                                   op8_decontaminate, op9_simhash, op10_token_store)}
-ORACLES: dict[str, str] = {}
+                                   op8_decontaminate, op9_simhash, op10_token_store, op11_conversation_trie)}
+ORACLES: dict[str, str] = {"op11_conversation_trie": OP11}
