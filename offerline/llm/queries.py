@@ -6,13 +6,13 @@ import functools
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerline.llm import (chat_tree, common, conversation_trie, decontaminate, langid, ngram_lm, packing, quality_knn, rules, simhash,
-                           suffix_dedup, token_store)
+                           source_audit, suffix_dedup, token_store)
 
-from offerline.llm.oracles import OP11
+from offerline.llm.oracles import OP11, OP13
 
 
 def op1_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +89,13 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("ends_sha256", none).alias("ends_sha256"))
 
 
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs, terms = source_audit.audit(common.table(spark, sf_dir, "documents"))
+    rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "other"))
+    return pairs.select("lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"), "value", rank.alias("rank")).unionByName(
+        terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank"))
+
+
 def _shipped(fn):
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,5 +105,5 @@ def _shipped(fn):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (op1_ngram_lm, op2_suffix_dedup, op3_chat_prefix_tree, op4_packing, op5_quality_knn, op6_quality_rules, op7_language_ppm,
-                                   op8_decontaminate, op9_simhash, op10_token_store, op11_conversation_trie)}
-ORACLES: dict[str, str] = {"op11_conversation_trie": OP11}
+                                   op8_decontaminate, op9_simhash, op10_token_store, op11_conversation_trie, op13_source_audit)}
+ORACLES: dict[str, str] = {"op11_conversation_trie": OP11, "op13_source_audit": OP13}
