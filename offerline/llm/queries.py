@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerline.llm import (chat_tree, common, conversation_trie, decontaminate, langid, ngram_lm, packing, quality_knn, rules, simhash,
+from offerline.llm import (chat_tree, common, conversation_trie, decontaminate, langid, license_scan, ngram_lm, packing, quality_knn, rules, simhash,
                            source_audit, suffix_dedup, token_store)
 
 from offerline.llm.oracles import OP11, OP13
@@ -89,6 +89,16 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("ends_sha256", none).alias("ends_sha256"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.transform(F.filter("places", lambda x: x["base"]), lambda x: x["word"])
+    joined = lambda xs: F.array_join(F.array_sort(F.array_distinct(F.transform(xs, lambda x: x["label"]))), ",")
+    return license_scan.scan(common.table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(base).cast("long").alias("first_word"),
+        F.array_max(base).cast("long").alias("last_word"), joined(F.filter("places", lambda x: x["base"])).alias("base_labels"),
+        joined(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda x: x["share"])), F.lit(0.0)).alias("score"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs, terms = source_audit.audit(common.table(spark, sf_dir, "documents"))
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "other"))
@@ -105,5 +115,5 @@ def _shipped(fn):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (op1_ngram_lm, op2_suffix_dedup, op3_chat_prefix_tree, op4_packing, op5_quality_knn, op6_quality_rules, op7_language_ppm,
-                                   op8_decontaminate, op9_simhash, op10_token_store, op11_conversation_trie, op13_source_audit)}
+                                   op8_decontaminate, op9_simhash, op10_token_store, op11_conversation_trie, op12_license_scan, op13_source_audit)}
 ORACLES: dict[str, str] = {"op11_conversation_trie": OP11, "op13_source_audit": OP13}
