@@ -12,8 +12,8 @@ from offerline.functions.phones import (
     LANDLINE_PATTERN,
     MOBILE_PATTERN,
     contact_text,
-    find_landline,
-    find_mobile,
+    first_match,
+    number_of,
 )
 from offerline.operators.ingest import round_prices
 
@@ -27,11 +27,11 @@ def normalize_contacts(df: DataFrame, always=(S.HOT_PHONE, S.WHATSAPP_PHONE), op
     ``strict`` adds digit boundaries and does not double a matched 55; the
     patterns are arguments (e.g. the stricter STRICT_MOBILE_BODY)."""
     text = contact_text([c for c in always if c in df.columns], [c for c in optional if c in df.columns], sep)
+    found = {f"__{mobile}": mobile_pattern, f"__{landline}": landline_pattern}
+    # One projection a step: each text and match is computed once, its later uses read it.
     out = df.withColumn(S.CONTACT_TEXT, text)
-    return out.withColumns({
-        mobile: find_mobile(F.col(S.CONTACT_TEXT), strict, mobile_pattern),
-        landline: find_landline(F.col(S.CONTACT_TEXT), strict, landline_pattern),
-    })
+    out = out.withColumns({m: first_match(S.CONTACT_TEXT, p, strict) for m, p in found.items()})
+    return out.withColumns({m[2:]: number_of(m, p, strict) for m, p in found.items()}).drop(*found)
 
 
 def campaign_base(df: DataFrame, weekday_headers=S.WEEKDAY_COLUMNS) -> DataFrame:

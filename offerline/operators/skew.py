@@ -27,31 +27,38 @@ def hot_keys(df: DataFrame, on, share: float = HOT_SHARE) -> DataFrame | None:
     return df.sparkSession.createDataFrame([(*[r[c] for c in on], math.ceil(r["n"] / (total * share))) for r in found], schema)
 
 
+def deal(left: DataFrame, on, hot: DataFrame | None) -> DataFrame:
+    """``left`` with a salt: rows of a hot key are dealt by a hash of the
+    whole row, rows with a NULL key (which match nothing) likewise."""
+    on = [on] if isinstance(on, str) else list(on)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    missing = ~_all(*[F.col(f"`{c}`").isNotNull() for c in on])
+    known = left.withColumn("n_salts", F.lit(1)) if hot is None else left.join(F.broadcast(hot), on, "left")
+    return known.withColumn(SALT, F.when(missing, F.pmod(row, F.lit(NULL_SALTS))).otherwise(
+        F.pmod(row, F.coalesce("n_salts", F.lit(1)))).cast("int")).drop("n_salts")
+
+
+def repeat(right: DataFrame, on, hot: DataFrame | None) -> DataFrame:
+    """``right`` with a salt: rows of a hot key once a salt, others once."""
+    if hot is None:
+        return right.withColumn(SALT, F.lit(0))
+    on = [on] if isinstance(on, str) else list(on)
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salts"), F.lit(1)) - 1))
+    return right.join(F.broadcast(hot), on, "left").withColumn(SALT, salts).drop("n_salts")
+
+
 def salted_join(left: DataFrame, right: DataFrame, on, how: str = "left", share: float = HOT_SHARE) -> DataFrame:
     """``left`` joined to ``right`` on equal names; the same rows, in the same
     number, as ``left.join(right, on, how)`` (``how``: left, inner, left_semi
-    or left_anti).
-
-    The left side's keys are counted first. Rows of a hot key are dealt to
-    salts by a hash of the whole row, and only the right rows of hot keys are
-    repeated, once a salt. A NULL key matches nothing; its rows are dealt to
-    ``NULL_SALTS`` so that they don't meet in one task. Left rows equal in
-    every column share a salt; AQE's skew split is what is left for those.
+    or left_anti). The left side's keys are counted first; only the right
+    rows of hot keys are repeated. Left rows equal in every column share a
+    salt; AQE's skew split is what is left for those.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot repeat the right side of a {how!r} join")
     on = [on] if isinstance(on, str) else list(on)
     hot = hot_keys(left, on, share)
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    missing = ~_all(*[F.col(c).isNotNull() for c in on])
-    if hot is None:
-        dealt = left.withColumn(SALT, F.when(missing, F.pmod(row, F.lit(NULL_SALTS))).otherwise(F.lit(0)).cast("int"))
-        return dealt.join(right.withColumn(SALT, F.lit(0)), [*on, SALT], how).drop(SALT)
-    dealt = left.join(F.broadcast(hot), on, "left").withColumn(SALT, F.when(missing, F.pmod(row, F.lit(NULL_SALTS))).otherwise(
-        F.pmod(row, F.coalesce(F.col("n_salts"), F.lit(1)))).cast("int")).drop("n_salts")
-    repeated = right.join(F.broadcast(hot), on, "left").withColumn(
-        SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salts"), F.lit(1)) - 1))).drop("n_salts")
-    return dealt.join(repeated, [*on, SALT], how).drop(SALT)
+    return deal(left, on, hot).join(repeat(right, on, hot), [*on, SALT], how).drop(SALT)
 
 
 def _all(*conditions: Column) -> Column:

@@ -31,10 +31,17 @@ from offerline.operators.contacts import (
 )
 from offerline.operators.enrich import fill_from_group, left_enrich, stack_bases
 from offerline.operators.ingest import authorised_contacts, exclude_value, round_prices, split_invalid_ids
-from offerline.operators.loads import dedupe_rows
+from offerline.operators.loads import (
+    DIGEST,
+    board_loads_of_distinct,
+    dedupe_rows,
+    display_columns,
+    distinct_campaign,
+    with_digest,
+)
 from offerline.operators.messages import message_load
 from offerline.operators.offers import NUMBERED_COLUMNS, cheapest_offer, fold_offers
-from offerline.operators.publish import attach_ids, conform, publish_mailing, with_load_timestamp, with_placeholder_id
+from offerline.operators.publish import attach_ids, conform, with_load_timestamp, with_placeholder_id
 from offerline.operators.quality import encoding_loss, invalid_number_profile, key_multiplicity, nonnull_profile, null_columns
 from offerline.operators.registry import issue_ids, new_codes
 from offerline.plans import jobs, standin
@@ -86,6 +93,13 @@ def _campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
                              standin.hot_contacts(spark, sf_dir), standin.whatsapp_contacts(spark, sf_dir))
 
 
+def _stored_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The campaign with its digest, stored as the job stores it."""
+    path = _scratch(spark, "campaign")
+    with_digest(_campaign(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_contacts(standin.contacts(spark, sf_dir))
 
@@ -367,7 +381,8 @@ def conform_schema(spark, sf_dir):
 @query
 def board_loads(spark, sf_dir):
     """The three deduplicated board loads with display formats."""
-    loads = jobs.board_job(_campaign(spark, sf_dir))
+    once = distinct_campaign(_stored_campaign(spark, sf_dir)).drop(*S.OPTIONAL_COLUMNS)
+    loads = display_columns(board_loads_of_distinct(once))
     renames = {k: v for k, v in S.MAILING_RENAMES.items() if k in loads.columns}
     return loads.withColumnsRenamed(renames)
 
@@ -408,7 +423,8 @@ def ids_job(spark, sf_dir):
 @query
 def mailing_table(spark, sf_dir):
     """The 68-column mailing rows of the run date."""
-    return _dates_as_text(publish_mailing(_campaign(spark, sf_dir), standin.registry(spark, sf_dir), standin.RUN_DATE))
+    once = distinct_campaign(_stored_campaign(spark, sf_dir)).drop(*DIGEST)
+    return _dates_as_text(attach_ids(conform(once), standin.registry(spark, sf_dir), standin.RUN_DATE))
 
 
 # --- sinks ----------------------------------------------------------------------

@@ -251,3 +251,10 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("id_oportunidade", T.StringType(), True),
     T.StructField("dt_oportunidade", T.DateType(), True),
 ])
+
+# The message load's columns, and the bucket they are written by.
+MESSAGE_SCHEMA = T.StructType([
+    T.StructField(name, T.LongType() if name == "VALOR_DO_REGISTRO" else T.StringType(), True)
+    for name in ("TIPO_DE_REGISTRO", "VALOR_DO_REGISTRO", "MENSAGEM", "NOME_CLIENTE", "CPFCNPJ", "CODCLIENTE", "TAG",
+                 "CORINGA1", "CORINGA2", "CORINGA3", "CORINGA4", "CORINGA5", "PRIORIDADE")
+] + [T.StructField("n_offers", T.IntegerType(), True)])
