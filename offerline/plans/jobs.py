@@ -34,6 +34,7 @@ from offerline.session import ensure_checkpoint_dir
 from offerline.sources.io import read_table, write_board_loads, write_message_loads, write_partitioned
 from offerline.sources.landing import (
     REASONS,
+    for_storing,
     layouts,
     read_landed_csv,
     read_landed_parquet,
@@ -130,6 +131,8 @@ class CampaignConfig:
     ``exclude``: (column, value), rows of the base left out (NULL stays).
     ``fill``: columns whose NULLs take the first value of the same code in
     the order of ``fill_order``.
+    ``registry_buckets``: a new registry (a catalog table) is laid out in so
+    many buckets of the code within each day.
     ``loaded_at``: UTC instant stamped on the mailing table as ``ts_carga``.
     """
     mode: str = "aligned"
@@ -151,6 +154,7 @@ class CampaignConfig:
     loaded_at: str | None = None
     table_format: str = "parquet"
     rows_per_file: int | None = None
+    registry_buckets: int | None = None
     resume: bool = True
 
     def __post_init__(self):
@@ -193,7 +197,7 @@ def land_base(spark: SparkSession, paths: CampaignPaths, config: CampaignConfig,
 def _stored_input(stages: Stages, name: str, df: DataFrame, **metrics) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejects) of a landed input, split by one stored pass."""
     bad = F.size(REASONS) > 0
-    stored = stages.stored(name, lambda: df, metrics={"rows": F.count(F.lit(1)), "rejected": F.count_if(bad), **metrics})
+    stored = stages.stored(name, lambda: for_storing(df), metrics={"rows": F.count(F.lit(1)), "rejected": F.count_if(bad), **metrics})
     return split_rejects(stored)
 
 
@@ -271,7 +275,8 @@ def run_campaign(spark: SparkSession, paths: CampaignPaths, run_date, config: Ca
     def ids(observed) -> None:
         registry = _read_registry(spark, paths.registry, config.table_format)
         fresh = ids_job(campaign, registry, run_date).checkpoint()     # what is appended is read by the same plan
-        write_partitioned(observed(fresh, rows=F.count(F.lit(1))), paths.registry, "dt_oportunidade", "append", config.table_format)
+        write_partitioned(observed(fresh, rows=F.count(F.lit(1))), paths.registry, "dt_oportunidade", "append", config.table_format,
+                          (config.registry_buckets, "cod_sap") if config.registry_buckets else None)
 
     def mailing(observed) -> None:
         registry = read_table(spark, paths.registry, S.REGISTRY_SCHEMA, config.table_format)

@@ -226,7 +226,7 @@ def message_load_sql(mode: str = "aligned") -> str:
     addressed = f"addressed AS (SELECT *, {address(ADDRESS_PARTS)} AS endereco FROM campaign)"
     return (f"WITH {campaign_ctes()},\n{addressed},\n"
             f"{cheapest_cte('addressed', CAMPAIGN_NAMES + ['endereco'], drop=CONTACTS, tie_keys=MESSAGE_TIE_KEYS)},\n"
-            f"src AS ({src}),\n{fold_ctes('src', mode)},\n"
+            f"src AS (SELECT * FROM ({src}) WHERE name IS NOT NULL AND grp IS NOT NULL AND company IS NOT NULL),\n{fold_ctes('src', mode)},\n"
             f"msg AS (SELECT {message_select(mode)} FROM wide)\n")
 
 
@@ -410,7 +410,7 @@ def oracle_sql() -> dict[str, str]:
         "NULLIF(MENSAGEM, '') AS MENSAGEM, NULLIF(NOME_CLIENTE, '') AS NOME_CLIENTE, NULLIF(CPFCNPJ, '') AS CPFCNPJ, "
         "NULLIF(CODCLIENTE, '') AS CODCLIENTE, NULLIF(TAG, '') AS TAG, CORINGA1, CORINGA2, CORINGA3, "
         "NULLIF(CORINGA4, '') AS CORINGA4, NULLIF(CORINGA5, '') AS CORINGA5, PRIORIDADE, "
-        "CAST(n_offers AS BIGINT) AS n_offers FROM b WHERE n_offers IS NOT NULL")
+        f"CAST(n_offers AS BIGINT) AS n_offers, '{standin.RUN_DATE}' AS run_date FROM b WHERE n_offers IS NOT NULL")
     q["dedupe_rows"] = "SELECT DISTINCT l_partkey, l_returnflag, l_linestatus, l_quantity FROM lineitem"
     q["display_formats"] = (
         "SELECT o_orderkey, printf('%.4f', o_totalprice) AS total_4, CAST(o_custkey AS VARCHAR) AS cust_0, "
@@ -441,9 +441,41 @@ def oracle_sql() -> dict[str, str]:
         "ON TRY_CAST(c.vedi_cod_cli AS BIGINT) = r.cod_sap")
     q["registry_two_runs"] = (
         "SELECT c_custkey AS cod_sap, '240424' || printf('%06d', ROW_NUMBER() OVER (ORDER BY c_custkey)) "
-        "AS id_oportunidade, '2024-04-24' AS dt_oportunidade FROM customer WHERE c_nationkey < 15 UNION ALL "
-        "SELECT c_custkey, '240425' || printf('%06d', ROW_NUMBER() OVER (ORDER BY c_custkey)), '2024-04-25' "
-        "FROM customer WHERE c_nationkey >= 10")
+        "AS id_oportunidade, '2024-04-24' AS dt_oportunidade FROM customer UNION ALL "
+        "SELECT c_custkey + 500, '240425' || printf('%06d', ROW_NUMBER() OVER (ORDER BY c_custkey)), '2024-04-25' FROM customer")
+    q["csv_landing"] = q["conform_schema"]
+    q["board_loads_written"] = (
+        f"SELECT load, count(*) AS n_rows, count(DISTINCT vedi_cod_cli) AS n_codes, count(\"10\") AS n_contact_10, "
+        f"count(DISTINCT \"10\") AS n_contacts, min(novo_preco_final_r_l) AS min_price_text, max(vedi_dat_ven) AS max_date_text, "
+        f"count(novo_preco_final_limite) AS n_limit_prices, '{run}' AS run_date FROM ({board_loads_sql()}) GROUP BY load")
+    q["campaign_rejects"] = f"""
+WITH cells AS (SELECT *, CASE WHEN short AND long THEN 'mais' WHEN short THEN NULL ELSE NULLIF(price, '') END AS price_text,
+  short <> long AS other_width, code = '' OR code LIKE '%x' AS no_id FROM ({_f(standin.LANDED_LINES_SQL)})),
+checked AS (SELECT *, NULLIF(concat_ws('; ', CASE WHEN other_width THEN 'width' END,
+  CASE WHEN price_text IS NOT NULL AND TRY_CAST(price_text AS DOUBLE) IS NULL THEN 'value: Novo Preço Final Limite' END,
+  CASE WHEN no_id THEN 'id: VEDI_COD_CLI' END), '') AS reasons FROM cells)
+SELECT CASE WHEN reasons IS NULL THEN l_orderkey END AS order_key, CASE WHEN reasons IS NULL THEN l_linenumber END AS line_number,
+  CASE WHEN reasons IS NULL THEN TRY_CAST(code AS BIGINT) END AS code, CASE WHEN reasons IS NULL THEN TRY_CAST(price_text AS DOUBLE) END AS price,
+  CASE WHEN reasons IS NOT NULL THEN line END AS record, reasons FROM checked"""
+    counted = ", ".join(f'count({n}) AS "present: {n[1:] if n in CONTACTS else n}"' for n in [*CAMPAIGN_NAMES, "score", "flag"])
+    q["run_report"] = f"""
+WITH {campaign_ctes()},
+counted AS (SELECT count(*) AS "rows", count(*) FILTER (WHERE canal = 'DIS') AS dis_rows,
+  count(*) FILTER (WHERE canal = 'WhatsApp') AS whatsapp_rows, 1::BIGINT AS finished, {counted} FROM campaign),
+groups AS (SELECT max(novo_preco_final_limite) AS price FROM campaign
+  WHERE grupo_cliente IS NOT NULL AND cnpj_basico IS NOT NULL AND vedi_dsc_mat IS NOT NULL
+  GROUP BY grupo_cliente, cnpj_basico, vedi_dsc_mat, fone_1)
+SELECT 'campaign' AS stage, metric, value FROM (UNPIVOT counted ON COLUMNS(*) INTO NAME metric VALUE value)
+UNION ALL SELECT 'offers', 'offer_groups', count(*) FROM groups
+UNION ALL SELECT 'offers', 'groups_without_price', count(*) FROM groups WHERE price IS NULL
+UNION ALL SELECT 'offers', 'finished', 1"""
+    q["enrich_hot_code"] = (
+        f"SELECT r.*, c.telefone FROM ({_f(standin.HOT_CODE_ROWS_SQL)}) r LEFT JOIN ({_f(standin.HOT_CODE_CONTACTS_SQL)}) c "
+        "ON r.code = TRY_CAST(c.codigo_sap AS BIGINT)")
+    q["campaign_column_split"] = (
+        f"WITH {campaign_ctes()}\nSELECT vedi_cod_cli AS code, vedi_cod_mat AS material, vedi_cod_bas AS base_code, s.territorio, s.grupo, "
+        f"s.cluster, segmento, s.score, fone_1 FROM campaign c LEFT JOIN ({_f(standin.SPLIT_INSIGHTS_SQL)}) s "
+        "ON c.vedi_cod_cli = TRY_CAST(s.sap_code AS BIGINT)")
     q["mailing_two_days"] = (
         "SELECT o_orderkey, o_custkey, '2024-04-24' AS dt_mailing FROM orders UNION ALL "
         "SELECT o_orderkey, o_custkey + 2, '2024-04-25' FROM orders")

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerline import schemas as S
 from offerline.functions.numbers import (
@@ -44,8 +45,25 @@ from offerline.operators.offers import NUMBERED_COLUMNS, cheapest_offer, fold_of
 from offerline.operators.publish import attach_ids, conform, with_load_timestamp, with_placeholder_id
 from offerline.operators.quality import encoding_loss, invalid_number_profile, key_multiplicity, nonnull_profile, null_columns
 from offerline.operators.registry import issue_ids, new_codes
+from offerline.operators.skew import deal, hot_keys
 from offerline.plans import jobs, standin
-from offerline.sources.io import read_message_loads, write_message_loads, write_partitioned
+from offerline.plans.staging import Stages
+from offerline.sources.io import (
+    read_board_loads,
+    read_message_loads,
+    write_board_loads,
+    write_message_loads,
+    write_partitioned,
+)
+from offerline.sources.landing import (
+    REASONS,
+    for_storing,
+    layouts,
+    read_landed_csv,
+    split_rejects,
+    weekday_headers,
+    with_id_reasons,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -323,7 +341,7 @@ def offer_text(spark, sf_dir):
 
 @query
 def message_fields(spark, sf_dir):
-    """product/price fields and the code list."""
+    """product/price fields and the code list."""
     load = message_load(fold_offers(_cheapest(spark, sf_dir), mode="positional"), mode="positional", keep_keys=True)
     return load.select(F.col(S.CLIENT_NAME).alias("name"), F.col(S.CLIENT_GROUP).alias("grp"),
                        F.col(S.COMPANY).alias("company"), "VALOR_DO_REGISTRO", "CORINGA1", "CORINGA2", "CORINGA3",
@@ -431,21 +449,117 @@ def mailing_table(spark, sf_dir):
 
 @query
 def csv_round_trip(spark, sf_dir):
-    """K1, K5: message load written as windows-1252 CSV by offer count, read back."""
-    path = _scratch(spark, "message-loads")
-    write_message_loads(jobs.message_job(_campaign(spark, sf_dir)), path)
+    """K1, K5: message load written as windows-1252 CSV by offer count under
+    its run date, in files of few rows, and read back."""
+    path = f"{_scratch(spark, 'message-loads')}/{standin.RUN_DATE}"
+    write_message_loads(jobs.message_job(_campaign(spark, sf_dir)), path, rows_per_file=1000)
     back = read_message_loads(spark, path)
-    return back.withColumns({"VALOR_DO_REGISTRO": F.col("VALOR_DO_REGISTRO").cast("bigint"),
-                             "n_offers": F.col("n_offers").cast("bigint")})
+    return back.select(*[c for c in back.columns if c not in ("VALOR_DO_REGISTRO", "n_offers")],
+                       F.col("VALOR_DO_REGISTRO").cast("bigint"), F.col("n_offers").cast("bigint"),
+                       F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3).alias("run_date"))
+
+
+@query
+def board_loads_written(spark, sf_dir):
+    """K2, K5: the board loads written in planned files under their run date
+    and read back; rows, codes and prices of each load."""
+    path = f"{_scratch(spark, 'boards')}/{standin.RUN_DATE}"
+    once = distinct_campaign(_stored_campaign(spark, sf_dir)).drop(*S.OPTIONAL_COLUMNS)
+    write_board_loads(display_columns(board_loads_of_distinct(once)), path, rows_per_file=20_000)
+    back = read_board_loads(spark, path)
+    present = lambda c: F.count(F.col(f"`{c}`"))
+    return back.groupBy("load").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct(S.CODE).alias("n_codes"), present("10").alias("n_contact_10"),
+        F.countDistinct("10").alias("n_contacts"), F.min(S.PRICE).alias("min_price_text"), F.max(S.SALE_DATE).alias("max_date_text"),
+        present(S.LIMIT_PRICE).alias("n_limit_prices")).withColumn("run_date", F.lit(path.rsplit("/", 1)[1]))
+
+
+@query
+def csv_landing(spark, sf_dir):
+    """The inputs landed as CSV in two layouts (other column
+    order, further columns), read by header; the same campaign comes out."""
+    root = _scratch(spark, "landing")
+    base = standin.base(spark, sf_dir)
+    even = F.col(S.CODE).cast("bigint") % 2 == 0
+    base.filter(even).write.option("header", True).option("escape", '"').csv(f"{root}/base.csv")
+    other = base.filter(~even).withColumn("Observação", F.lit('livre, "sem" uso'))
+    other.select(*reversed(other.columns)).write.mode("append").option("header", True).option("escape", '"').csv(f"{root}/base.csv")
+    lists = {"insights": standin.insights(spark, sf_dir), "Contatos_Quentes_1": standin.hot_contacts(spark, sf_dir),
+             "Contatos_1_Whatsapp": standin.whatsapp_contacts(spark, sf_dir)}
+    for name, df in lists.items():
+        df.select(*reversed(df.columns)).write.option("header", True).csv(f"{root}/{name}.csv")
+    cells = next(iter(layouts(spark, f"{root}/base.csv", {})))
+    weekdays = weekday_headers(cells, standin.RUN_DATE)
+    read = lambda name, schema: split_rejects(read_landed_csv(spark, f"{root}/{name}.csv", schema))[0]
+    campaign = jobs.prepare_base(read("base", S.base_input_schema(weekdays)), read("insights", S.INSIGHTS_SCHEMA),
+                                 read("Contatos_Quentes*", S.HOT_CONTACTS_SCHEMA), read("Contatos_*Whatsapp", S.WHATSAPP_CONTACTS_SCHEMA), weekdays)
+    return _dates_as_text(conform(campaign, weekdays))
+
+
+@query
+def campaign_rejects(spark, sf_dir):
+    """One stored pass parts the landed rows; the others keep their
+    line and every reason (width, value, id)."""
+    root = _scratch(spark, "rejects")
+    lines = standin.sql(spark, standin.LANDED_LINES_SQL, sf_dir).select(F.col("line").alias(standin.LANDED_HEADER))
+    lines.write.option("header", True).option("sep", "\t").csv(f"{root}/base.csv")
+    schema = T.StructType([T.StructField(S.LIMIT_PRICE, T.DoubleType()), T.StructField("pedido", T.LongType()),
+                           T.StructField("linha", T.LongType()), T.StructField(S.CODE, T.StringType())])
+    landed = with_id_reasons(read_landed_csv(spark, f"{root}/base.csv", schema), [S.CODE])
+    stages = Stages(spark, root, standin.RUN_DATE)
+    good, bad = split_rejects(stages.stored("base", lambda: for_storing(landed), metrics={"rejected": F.count_if(F.size(REASONS) > 0)}))
+    none = F.lit(None).cast("string")
+    return good.select(F.col("pedido").alias("order_key"), F.col("linha").alias("line_number"), strict_id(S.CODE, S.CODE, T.StringType()).alias("code"),
+                       F.col(f"`{S.LIMIT_PRICE}`").alias("price"), none.alias("record"), none.alias("reasons")).unionByName(
+        bad.select(F.lit(None).cast("long").alias("order_key"), F.lit(None).cast("long").alias("line_number"), F.lit(None).cast("long").alias("code"),
+                   F.lit(None).cast("double").alias("price"), "record", F.array_join("reasons", "; ").alias("reasons")))
+
+
+@query
+def run_report(spark, sf_dir):
+    """V1, Q9: counts observed by the campaign's and the offers' own writes:
+    present values of every column, channel rows, offer groups without any price."""
+    stages = Stages(spark, _scratch(spark, "report"), standin.RUN_DATE)
+    lazy = _campaign(spark, sf_dir)
+    campaign = stages.stored("campaign", lambda: lazy, metrics=jobs.campaign_metrics(lazy))
+    stages.stored("offers", lambda: jobs.cheapest_of_campaign(campaign, keep_unpriced=True), metrics={
+        "offer_groups": F.count(F.lit(1)), "groups_without_price": F.count_if(F.col(S.LIMIT_PRICE).isNull())})
+    renames = F.create_map(*[F.lit(x) for k, v in S.MAILING_RENAMES.items() for x in (f"present: {k}", f"present: {v}")])
+    return stages.report().select("stage", F.coalesce(renames[F.col("metric")], F.col("metric")).alias("metric"), "value")
+
+
+@query
+def enrich_hot_code(spark, sf_dir):
+    """J1-J3 with one code on a third of the rows: hot codes are measured,
+    their rows dealt out and only their contacts repeated."""
+    rows = standin.sql(spark, standin.HOT_CODE_ROWS_SQL, sf_dir)
+    contacts = standin.sql(spark, standin.HOT_CODE_CONTACTS_SQL, sf_dir)
+    hot = hot_keys(rows, "code")
+    joined = left_enrich(deal(rows, "code", hot), contacts, "code", right_key="codigo_sap", columns=["telefone"], hot=hot)
+    return joined.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "code", "telefone")
+
+
+@query
+def campaign_column_split(spark, sf_dir):
+    """Campaign columns from base or insights by declared priority."""
+    base = standin.base(spark, sf_dir).drop(*standin.SPLIT_MOVED)
+    insights = standin.sql(spark, standin.SPLIT_INSIGHTS_SQL, sf_dir).withColumnsRenamed(
+        {"sap_code": S.INSIGHTS_KEY, "score": "Score", "territorio": "Território", "grupo": "Grupo", "cluster": standin.SPLIT_PREFERRED})
+    campaign = jobs.prepare_base(base, insights, standin.hot_contacts(spark, sf_dir), standin.whatsapp_contacts(spark, sf_dir),
+                                 prefer_insights=(standin.SPLIT_PREFERRED,))
+    return campaign.select(F.col(S.CODE).alias("code"), F.col("VEDI_COD_MAT").alias("material"), F.col("VEDI_COD_BAS").alias("base_code"),
+                           F.col("Território").alias("territorio"), F.col("Grupo").alias("grupo"), F.col("Cluster").alias("cluster"),
+                           F.col("Segmento").alias("segmento"), F.col("Score").alias("score"), F.col(S.MOBILE).alias("fone_1"))
 
 
 @query
 def registry_two_runs(spark, sf_dir):
-    """Two days of ids and a re-run of the second day."""
+    """Two days of ids and a re-run of the second day, whose
+    codes are all customers under another number."""
     path = _scratch(spark, "registry")
     customer = _read(spark, sf_dir, "customer")
-    day1 = customer.filter(F.col("c_nationkey") < 15).select(F.col("c_custkey").alias("cod_sap"))
-    day2 = customer.filter(F.col("c_nationkey") >= 10).select(F.col("c_custkey").alias("cod_sap"))
+    day1 = customer.select(F.col("c_custkey").alias("cod_sap"))
+    day2 = customer.select((F.col("c_custkey") + 500).alias("cod_sap"))
     empty = spark.createDataFrame([], S.REGISTRY_SCHEMA)
     for codes, day in ((day1, "2024-04-24"), (day2, "2024-04-25"), (day2, "2024-04-25")):
         current = spark.read.parquet(path) if day != "2024-04-24" else empty

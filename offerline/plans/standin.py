@@ -84,7 +84,8 @@ def bare_text(k: str) -> str:
 # --- the priced base: stand-in name -> expression ----------------------------
 # Names are the mailing table's column names (contacts "1".."10" are c1..c10).
 BASE_EXPRESSIONS = {
-    "nome_cliente": "c.c_name",
+    # Some clients have no name, some one or two products only, some products no price.
+    "nome_cliente": "CASE WHEN c.c_custkey % 41 = 0 THEN NULL ELSE c.c_name END",
     "grupo_cliente": "c.c_mktsegment",
     "aeco": "'AECO ' || CAST(c.c_nationkey AS STRING)",
     "segmento": "p.p_brand",
@@ -105,7 +106,8 @@ BASE_EXPRESSIONS = {
     "num": "CASE WHEN o.o_orderkey % 3 = 0 THEN NULL ELSE CAST(o.o_orderkey % 1000 AS STRING) END",
     "complemento": "CASE WHEN o.o_orderkey % 4 = 0 THEN 'Rua ' || CAST(o.o_orderkey % 50 AS STRING) ELSE NULL END",
     "vedi_cod_mat": "CAST(l.l_partkey AS STRING)",
-    "vedi_dsc_mat": "p.p_type",
+    "vedi_dsc_mat": ("CASE c.c_custkey % 7 WHEN 0 THEN 'DIESEL' WHEN 1 THEN CASE WHEN l.l_partkey % 2 = 0 THEN 'DIESEL' ELSE 'ETANOL' END "
+                     "ELSE p.p_type END"),
     "vedi_dat_ven": "CAST(l.l_shipdate AS DATE)",
     "vedi_vol": "l.l_quantity",
     "vedi_dsc_ict": "CASE l.l_returnflag WHEN 'A' THEN 'CIF' WHEN 'N' THEN 'FOB' ELSE 'RETIRA' END",
@@ -123,12 +125,14 @@ BASE_EXPRESSIONS = {
     "sla_de_entrega": "o.o_orderpriority",
     "c1": f"CASE WHEN l.l_linenumber % 2 = 0 THEN {landline_text('o.o_orderkey')} ELSE NULL END",
     "c2": "CASE WHEN o.o_orderkey % 11 = 0 THEN 'sem contato' ELSE NULL END",
-    **{f"c{i}": "CAST(NULL AS STRING)" for i in range(3, 10)},
+    **{f"c{i}": f"CASE WHEN o.o_orderkey % {11 + 2 * i} = 0 THEN {text} ELSE NULL END" for i, text in (
+        (3, mobile_text("o.o_orderkey + 3")), (4, "'n/a'"), (5, landline_text("o.o_orderkey + 5")), (6, "'ramal 12'"),
+        (7, intl_text("o.o_orderkey + 7")), (8, bare_text("o.o_orderkey + 8")), (9, "'(11) 4'"))},
     "c10": f"CASE WHEN l.l_linenumber % 5 = 0 THEN {bare_text('c.c_custkey')} ELSE NULL END",
     "novo_preco_final_r_l": "l.l_extendedprice / l.l_quantity",
     "dias_de_prazo": "CAST(7 * (1 + l.l_linenumber % 3) AS STRING)",
     "grupo_cnpj_basico": "c.c_mktsegment || '-' || CAST(c.c_custkey AS STRING)",
-    "novo_preco_final_limite": "l.l_extendedprice * (1 - l.l_discount) / l.l_quantity",
+    "novo_preco_final_limite": "CASE WHEN l.l_partkey % 37 = 0 THEN NULL ELSE l.l_extendedprice * (1 - l.l_discount) / l.l_quantity END",
     "cnpj": "CAST(c.c_custkey * 1000000 + l.l_suppkey AS STRING)",
     "flag_mkt": "CASE WHEN c.c_custkey % 2 = 0 THEN 'S' ELSE 'N' END",
     "fonte": "'F' || CAST(l.l_suppkey % 3 AS STRING)",
@@ -337,3 +341,33 @@ CUSTOMER_REGISTRY_SQL = (
     "SELECT DISTINCT o_custkey AS cod_sap, '960101' || LPAD(CAST(o_custkey AS STRING), 6, '0') AS id_oportunidade, "
     "CAST(date_trunc('month', o_orderdate) AS DATE) AS dt_oportunidade FROM {orders}"
 )
+
+# Landed rows with ids and prices at fault, and lines of another width.
+LANDED_HEADER = "VEDI_COD_CLI,pedido,linha,Novo Preço Final Limite"
+LANDED_LINES_SQL = (
+    "SELECT code || ',' || CAST(l_orderkey AS STRING) || ',' || CAST(l_linenumber AS STRING) "
+    "|| CASE WHEN l_orderkey % 29 = 0 THEN '' ELSE ',' || price END || CASE WHEN l_orderkey % 23 = 0 THEN ',mais' ELSE '' END AS line, "
+    "code, l_orderkey, l_linenumber, price, l_orderkey % 29 = 0 AS short, l_orderkey % 23 = 0 AS long FROM ("
+    "SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 17 = 0 THEN '' WHEN l_partkey % 19 = 0 THEN CAST(l_partkey AS STRING) || 'x' "
+    "ELSE CAST(l_partkey AS STRING) END AS code, CASE WHEN l_suppkey % 13 = 0 THEN 'n/d' WHEN l_suppkey % 7 = 0 THEN '' "
+    "ELSE CAST(l_suppkey AS STRING) || '.25' END AS price FROM {lineitem}) x"
+)
+
+# A third of the rows has one code; that code and some others have several contacts.
+HOT_CODE_ROWS_SQL = (
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_orderkey END AS code FROM {lineitem}"
+)
+HOT_CODE_CONTACTS_SQL = (
+    f"SELECT CAST(o_orderkey AS STRING) AS codigo_sap, {mobile_text('o_orderkey')} AS telefone FROM {{orders}} WHERE o_orderkey % 5 <> 0 "
+    f"UNION ALL SELECT CAST(o_orderkey AS STRING), {intl_text('o_orderkey + 1')} FROM {{orders}} WHERE o_orderkey % 13 = 1 "
+    f"UNION ALL SELECT 'sem codigo', {mobile_text('o_orderkey')} FROM {{orders}} WHERE o_orderkey % 97 = 0"
+)
+
+# Columns of the campaign that another split takes from the insights.
+SPLIT_PREFERRED = "Cluster"
+SPLIT_MOVED = ("Território", "Grupo")
+SPLIT_INSIGHTS_SQL = (
+    f"SELECT {listed('o_orderkey % 2 = 0')} AS sap_code, CAST(o_orderkey % 100 AS STRING) AS score, "
+    "'T' || CAST(o_orderkey % 9 AS STRING) AS territorio, 'G' || CAST(o_orderkey % 4 AS STRING) AS grupo, "
+    "'C' || CAST(o_orderkey % 6 AS STRING) AS cluster FROM {orders}"
+)
