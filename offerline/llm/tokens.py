@@ -1,16 +1,18 @@
 """Token ids of whole texts by the tokenizers library, a piece at a time.
 
 A byte-pair tokenizer encodes the pieces of its pre-tokenizer independently,
-and texts repeat most pieces. A text is therefore cut where the library
+and texts repeat most words. A text is therefore cut where the library
 itself always cuts -- at single blanks between visible characters, and
 between Latin letters and ASCII punctuation -- each distinct piece is encoded
-once by the library, and the ids are put together again. Texts with any
-other use of white space around a blank are encoded whole.
+once by the library, each distinct word keeps its ids, and the ids are put
+together again: a known word is one lookup. Texts with any other use of white
+space around a blank, or with a NUL character, are encoded whole.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import zlib
@@ -26,7 +28,7 @@ PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for U+0100 on.
 VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 ALPHABET = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in VISIBLE)}
-MEMO = 600_000      # pieces kept by a worker; beyond it starts anew, which costs time only
+MEMO_WORDS, MEMO_PIECES = 500_000, 300_000      # kept by a worker; beyond it starts anew, which costs time only
 TEXT_AT_ONCE = 4 << 20
 ENCODE_AT_ONCE = 20_000
 
@@ -40,14 +42,17 @@ class Encoder:
         probe = "x" if self.normalizer is None else self.normalizer.normalize_str("x")
         cut = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(" " + probe)]
         self.keeps_blank = {("Ġx",): True, ("x",): False}.get(tuple(cut))      # else no short cut
+        # Many pieces are normalised in one call if that changes nothing.
+        words = [" x", "Ab", " éÈ", "ß", " Öÿ", "x"] if self.keeps_blank else ["x", "Ab", "éÈ", "ß", "Öÿ", "x"]
+        self.between = None
+        for mark in ("\n",) if self.keeps_blank else ("\n", " "):
+            if self.normalizer is not None and self.normalizer.normalize_str(mark.join(words)).split(mark) == [self.normalizer.normalize_str(w) for w in words]:
+                self.between = mark
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.size = np.zeros(1 << 16, np.int32)
-        self.start = np.zeros(1 << 16, np.int64)
-        self.ids = np.zeros(1 << 18, np.uint32)
-        self.used = 0
+        self.pieces_known = Memo()
+        self.words_known = Memo()
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         out = []
@@ -55,39 +60,50 @@ class Encoder:
             out += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[i:i + ENCODE_AT_ONCE], add_special_tokens=False)]
         return out
 
-    def pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """As ``whole``; runs of Latin letters go to the library's model
-        directly, as its pre-tokenizer would hand them over."""
-        if self.keeps_blank is None:
-            return self.whole(pieces)
-        plain = [bool(PLAIN.fullmatch(p)) for p in pieces]
-        other = iter(self.whole([p for p, x in zip(pieces, plain) if not x]))
-        out = []
-        for p, x in zip(pieces, plain):
-            if not x:
-                out.append(next(other))
+    def pieces(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of each piece. Runs of Latin letters go to the library's
+        model directly, as its pre-tokenizer would hand them over."""
+        plain = [p for p in pieces if PLAIN.fullmatch(p)] if self.keeps_blank is not None else []
+        own = set(plain)
+        other = [p for p in pieces if p not in own]
+        found = dict(zip(other, (e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False))))
+        shown = plain if self.keeps_blank else [p.lstrip(" ") for p in plain]
+        if self.between is not None and plain:
+            shown = self.normalizer.normalize_str(self.between.join(shown)).split(self.between)
+        elif self.normalizer is not None:
+            shown = [self.normalizer.normalize_str(p) for p in shown]
+        tokenize = self.model.tokenize
+        for p, x in zip(plain, shown):
+            x = x.replace(" ", "Ġ") if x.isascii() else x.encode().decode("latin-1").translate(ALPHABET)
+            found[p] = [t.id for t in tokenize(x)]
+        return [found[p] for p in pieces]
+
+    def learn(self, words: list) -> None:
+        """Keep the ids of new words; a tuple holds a text's first word, which
+        has no blank before it. Words that do not stand for themselves are
+        marked."""
+        cuts, bad = [], []
+        for word in words:
+            at_start = isinstance(word, tuple)
+            shown = word[0] if at_start else word
+            if shown.isalpha():     # nowhere to cut
+                bad.append(False)
+                cuts.append([shown if at_start else " " + shown])
                 continue
-            p = p if self.keeps_blank else p.lstrip(" ")
-            p = p if self.normalizer is None else self.normalizer.normalize_str(p)
-            p = p.replace(" ", "Ġ") if p.isascii() else p.encode().decode("latin-1").translate(ALPHABET)
-            out.append(np.array([t.id for t in self.model.tokenize(p)], np.uint32))
-        return out
-
-    def learn(self, pieces: list[str]) -> None:
-        for i in range(0, len(pieces), ENCODE_AT_ONCE):
-            part = pieces[i:i + ENCODE_AT_ONCE]
+            bad.append((not shown and not at_start) or "\0" in shown or (shown != "" and (shown[0].isspace() or shown[-1].isspace())))
+            cuts.append(CUT.split(shown if at_start else " " + shown) if shown and not bad[-1] else [])
+        known = self.pieces_known.index
+        fresh = list(dict.fromkeys(p for cut in cuts for p in cut if p not in known))
+        for i in range(0, len(fresh), ENCODE_AT_ONCE):
+            part = fresh[i:i + ENCODE_AT_ONCE]
             ids = self.pieces(part)
-            n, sizes = len(self.index), np.fromiter(map(len, ids), np.int64, len(ids))
-            while n + len(part) > len(self.size):
-                self.size, self.start = (np.concatenate([x, np.zeros_like(x)]) for x in (self.size, self.start))
-            total = int(sizes.sum())
-            while self.used + total > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.size[n:n + len(part)] = sizes
-            self.start[n:n + len(part)] = self.used + np.cumsum(sizes) - sizes
-            self.ids[self.used:self.used + total] = np.concatenate(ids) if ids else 0
-            self.used += total
-            self.index.update(zip(part, range(n, n + len(part))))
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.pieces_known.add(part, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
+        counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        codes = np.fromiter((known[p] for cut in cuts for p in cut), np.int64, int(counts.sum()))
+        ids, sizes = self.pieces_known.take(codes)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+        self.words_known.add(words, ids, np.diff(ends, prepend=0), bad)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
@@ -100,44 +116,62 @@ class Encoder:
         return out + (self._encode(texts[start:]) if start < len(texts) else [])
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.index) > MEMO:
-            self.clear()
-        # Words: the text's first as it stands, the others with their blank.
-        local: dict[str, int] = {}
-        rows = []
+        if len(self.words_known.index) > MEMO_WORDS:
+            self.words_known = Memo()
+        if len(self.pieces_known.index) > MEMO_PIECES:
+            self.pieces_known = Memo()
+        words, counts = [], []
         for t in texts:
             first, *rest = t.split(" ")
-            own = [local.setdefault("\0" + first, len(local))] if first else []
-            own += [local.setdefault(w, len(local)) for w in rest]
-            rows.append(own)
-        pieces, counts, bad = [], np.zeros(len(local), np.int64), np.zeros(len(local), bool)
-        for word, i in local.items():
-            at_start = word[:1] == "\0"
-            shown = word[1:] if at_start else word
-            if not shown or shown[0].isspace() or shown[-1].isspace() or "\0" in shown:
-                bad[i] = True
-            cut = CUT.split(shown if at_start else " " + shown)
-            pieces.append(cut)
-            counts[i] = len(cut)
-        fresh = list(dict.fromkeys(p for cut in pieces for p in cut if p not in self.index))
-        if fresh:
-            self.learn(fresh)
-        of_piece = np.fromiter((self.index[p] for cut in pieces for p in cut), np.int64, int(counts.sum()))
-        first_piece = np.cumsum(counts) - counts
-        out, slow = [], []
-        for i, own in enumerate(rows):
-            own = np.array(own, np.int64)
-            if len(own) and bad[own].any():
-                slow.append(i)
-                out.append(None)
-                continue
-            piece = of_piece[_ranges(first_piece[own], counts[own])]
-            out.append(self.ids[_ranges(self.start[piece], self.size[piece].astype(np.int64))])
-        for i, ids in zip(slow, self.whole([texts[i] for i in slow])):
-            out[i] = ids
+            words.append((first,))
+            words += rest
+            counts.append(1 + len(rest))
+        known = self.words_known.index
+        codes = np.fromiter(map(known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(codes < 0).tolist()
+        if missing:
+            self.learn(list(dict.fromkeys(words[i] for i in missing)))
+            codes[missing] = [known[words[i]] for i in missing]
+        ends = np.cumsum(counts)
+        slow = np.logical_or.reduceat(self.words_known.bad[codes], ends - counts)
+        ids, sizes = self.words_known.take(codes)
+        stops = np.cumsum(sizes)[ends - 1].tolist()
+        out = [ids[a:b] for a, b in zip([0, *stops], stops)]
+        again = np.flatnonzero(slow).tolist()
+        for i, whole in zip(again, self.whole([texts[i] for i in again])):
+            out[i] = whole
         return out
 
 
+class Memo:
+    """Ids by key, one after another in one array."""
+
+    def __init__(self):
+        self.index: dict = {}
+        self.size, self.start = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.bad = np.zeros(1 << 16, bool)
+        self.ids = np.zeros(1 << 18, np.uint32)
+        self.used = 0
+
+    def add(self, keys: list, ids: np.ndarray, sizes: np.ndarray, bad=False) -> None:
+        n, end = len(self.index), len(self.index) + len(keys)
+        while end > len(self.size):
+            self.size, self.start, self.bad = (np.concatenate([x, np.zeros_like(x)]) for x in (self.size, self.start, self.bad))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.size[n:end] = sizes
+        self.start[n:end] = self.used + np.cumsum(sizes) - sizes
+        self.bad[n:end] = bad
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.index.update(zip(keys, range(n, end)))
+
+    def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the keys one after another, and how many each has."""
+        sizes = self.size[codes]
+        return self.ids[_ranges(self.start[codes], sizes)], sizes
+
+
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of all ranges [start, start + size), one after another."""
     total = int(sizes.sum())

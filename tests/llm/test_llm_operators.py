@@ -393,54 +393,6 @@ def test_empty_tables(spark, sf, name):
         write([], folder, t, schema=pq.read_schema(f"{SF}/{t}.parquet"))
     assert run(spark, name, folder) == []
 
-def test_op1_equals_brute_force(spark, sf, docs, monkeypatch):
-    import math
-
-    from offerline.llm import common, ngram_lm
-
-    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 40_000)     # several shards and split context words
-    texts = [words(r["text"]) + ["end"] for r in docs]
-    held = [zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2 for r in docs]
-    uni, ctx, succ, tri, bi = collections.Counter(), collections.Counter(), collections.Counter(), collections.Counter(), collections.Counter()
-    for t, h in zip(texts, held):
-        if not h:
-            p = ["s", "s", *t]
-            for i in range(2, len(p)):
-                uni[p[i]] += 1
-                bi[p[i - 1], p[i]] += 1
-                tri[p[i - 2], p[i - 1], p[i]] += 1
-    for (a, b), n in bi.items():
-        ctx[a] += n
-        succ[a] += 1
-    for (a, b, c), n in tri.items():
-        ctx[a, b] += n
-        succ[a, b] += 1
-    total, types = sum(uni.values()), len(uni)
-    ones, twos = (sum(n == k for n in uni.values()) for k in (1, 2))
-    d = ones / (ones + 2 * twos)
-
-    def q(x):
-        return 10 ** (-math.ceil(-math.log10(x) * 32 - 1e-9) / 32) if x else 0.0
-
-    want = {}
-    for r, t in zip(docs, texts):
-        p, score, base = ["s", "s", *t], 0.0, 0.0
-        for i in range(2, len(p)):
-            a, b, c = p[i - 2:i + 1]
-            low = (uni[c] - d if uni[c] else d * types) / total
-            mid = (q(max(bi[b, c] - 1, 0) / ctx[b]) + q(succ[b] / ctx[b]) * low) if ctx[b] else low
-            top = (q(max(tri[a, b, c] - 1, 0) / ctx[a, b]) + q(succ[a, b] / ctx[a, b]) * mid) if ctx[a, b] else mid
-            score += math.log10(top)
-            base += math.log10((uni[c] + 1) / (total + types + 1))
-        want.setdefault(r["doc_id"], []).append((len(t), sum(uni[w] > 0 for w in t), base, score))
-    got = run(spark, "op1_ngram_lm", sf)
-    assert len(got) == len(docs) and {r["train_tokens"] for r in got} == {total}
-    for r in got:
-        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2)
-        assert any((r["n_tokens"], r["n_known"]) == w[:2] and abs(r["base_score"] - w[2]) < 1e-6 * (1 - w[2]) and abs(r["score"] - w[3]) < 1e-6 * (1 - w[3])
-                   for w in want[r["doc_id"]]), (list(r.values()), want[r["doc_id"]])
-
-
 def test_op1_elias_fano():
     from offerline.llm.ngram_lm import EliasFano
 
@@ -594,7 +546,7 @@ def test_op4_power_of_two_is_not_padded(spark, fill, size):
     assert (got.n_tokens, np.frombuffer(got.ids, "<u4").tolist()) == (fill, ids + [7] * (size - fill))
 
 
-def test_op1_discount_of_each_order(spark, sf, docs, monkeypatch):
+def test_op1_equals_brute_force(spark, sf, docs, monkeypatch):
     import math
 
     from offerline.llm import ngram_lm
@@ -621,8 +573,9 @@ def test_op1_discount_of_each_order(spark, sf, docs, monkeypatch):
 
     want, once = {}, 0
     for r, t in zip(docs, texts):
-        p, score = ["s", "s", *t], 0.0
+        p, score, base = ["s", "s", *t], 0.0, 0.0
         for i in range(2, len(p)):
+            base += math.log10((n[1][p[i],] + 1) / (total + types + 1))
             at = (n[1][p[i],] - d[1] if n[1][p[i],] else d[1] * types) / total
             for k in (2, 3):
                 g = tuple(p[i - k + 1:i + 1])
@@ -630,10 +583,14 @@ def test_op1_discount_of_each_order(spark, sf, docs, monkeypatch):
                     at = q((n[k][g] - d[k]) / c if n[k][g] else 0) + q(d[k] * succ[g[:-1]] / c) * at
                 once += n[k][g] == 1
             score += math.log10(at)
-        want.setdefault(r["doc_id"], []).append(score)
+        want.setdefault(r["doc_id"], []).append((len(t), sum(n[1][w,] > 0 for w in t), base, score))
     assert once
-    for r in run(spark, "op1_ngram_lm", sf):
-        assert any(abs(r["score"] - w) < 1e-6 * (1 - w) for w in want[r["doc_id"]]), (list(r.values()), want[r["doc_id"]])
+    got = run(spark, "op1_ngram_lm", sf)
+    assert len(got) == len(docs) and {r["train_tokens"] for r in got} == {total}
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2)
+        assert any((r["n_tokens"], r["n_known"]) == w[:2] and abs(r["base_score"] - w[2]) < 1e-6 * (1 - w[2]) and abs(r["score"] - w[3]) < 1e-6 * (1 - w[3])
+                   for w in want[r["doc_id"]]), (list(r.values()), want[r["doc_id"]])
 
 
 def test_op3_reads_through_the_intervals(spark, sf, encoders):
