@@ -643,3 +643,14 @@ def test_pipeline_quality_without_labels(spark, sf, docs):
     write([], folder, "labels", schema=pq.read_schema(f"{SF}/labels.parquet"))
     got = dict(corpus_pipeline.STAGES)["quality_classifier"](spark, common.table(spark, sf, "documents"), folder)
     assert tuple(got.columns) == corpus_pipeline.COLUMNS and got.count() == len(docs)
+
+
+def test_op2_batches_spread_over_shards(spark, sf):
+    from pyspark.sql import functions as F
+
+    from offerline.llm import suffix_dedup
+
+    texts = spark.read.parquet(f"{sf}/documents.parquet").select(F.monotonically_increasing_id().alias("rid"), F.coalesce("text", F.lit("")).alias("t"))
+    messages = suffix_dedup.anchor_messages(texts.repartition(64), 16, 50)
+    shards = [r["n"] for r in messages.groupBy("shard").agg(F.sum(F.length("data")).alias("n")).collect()]
+    assert len(shards) == 16 and max(shards) <= 2 * sum(shards) / len(shards)
