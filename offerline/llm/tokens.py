@@ -28,7 +28,7 @@ PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for U+0100 on.
 VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 ALPHABET = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in VISIBLE)}
-MEMO_WORDS, MEMO_PIECES = 500_000, 300_000      # kept by a worker; beyond it starts anew, which costs time only
+MEMO_WORDS, MEMO_PIECES = 330_000, 200_000      # kept by a worker; beyond it starts anew, which costs time only
 TEXT_AT_ONCE = 4 << 20
 ENCODE_AT_ONCE = 20_000
 
