@@ -15,14 +15,16 @@ successors -- are monotone sequences in Elias-Fano code, with Elias-Fano
 pointers from a node to its children. A successor of a pair is stored as its
 place among the successors of the nearer word (it is always one of them),
 which keeps the numbers small. Probabilities and weights are quantised to one
-byte on a logarithmic scale. A shard's file is memory-mapped and queried by
-successor search.
+byte on a logarithmic scale, whose steps reach the shard's smallest value. A
+shard's file is memory-mapped and queried by successor search.
 
 Documents are grouped in blocks. A block sends its distinct words to the
-shards that count them, then its distinct trigrams to the trie shards, which
-are stored until the discounts are known, and
+shards that count them, then its distinct trigrams to the trie shards, and
 gets one answer for each in the order sent; so texts never move, and a
-frequent n-gram travels once a block. Words are known by 64-bit hashes.
+frequent n-gram travels once a block. The shards read what was sent to them
+twice, for the discounts and for the trie, from one shuffle; a lost
+executor's part of it is sent again from the stored blocks. Words are known
+by 64-bit hashes.
 
 Rows: a null or empty text is the end token alone; repeated rows count and
 are scored as often as they occur; without training rows every word is
@@ -31,6 +33,7 @@ unknown and has probability one.
 
 from __future__ import annotations
 
+import itertools
 import mmap
 import pickle
 import tempfile
@@ -39,7 +42,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
+from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,22 +51,53 @@ from offerline.llm import common
 BLOCK_BYTES = 7 << 20      # text of a block
 SHARD_BYTES = 7 << 20      # text for each shard of words and of the trie
 HASH_BYTES = 1 << 20        # text hashed at once
-PER_DECADE = 32             # quantisation steps a factor of ten
+PER_DECADE = 32             # quantisation steps a factor of ten, fewer where a shard's values reach below 10 ** -7.9
 U = np.uint64
 BASE = 0x9E3779B97F4A7C55
 INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 END = U(0xE0D)              # hash of the end token
-LEVELS = np.concatenate([[0.0], 10.0 ** (-np.arange(255) / PER_DECADE)])
 
 
-def _packed(**arrays) -> bytes:
-    return zstandard.compress(pickle.dumps(arrays, protocol=5), 1)
+def _packed(**values) -> bytes:
+    """Compressed values; of an array of numbers all lowest bytes come first,
+    then the next ones, so that the (mostly empty) high bytes compress."""
+    wide = {k: x for k, x in values.items() if isinstance(x, np.ndarray) and x.ndim == 1 and x.itemsize > 1}
+    planes = {k: (x.dtype, np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T)) for k, x in wide.items()}
+    return zstandard.compress(pickle.dumps((planes, {k: x for k, x in values.items() if k not in wide}), protocol=5), 1)
 
 
 def _unpacked(data: bytes) -> dict:
-    return pickle.loads(zstandard.decompress(data))
+    planes, rest = pickle.loads(zstandard.decompress(data))
+    return rest | {k: np.ascontiguousarray(x.T).view(dtype).ravel() for k, (dtype, x) in planes.items()}
+
+
+def steps(*columns: np.ndarray) -> list[np.ndarray]:
+    """Sorted rows as differences to the row before: a column's where the
+    columns before it are equal, its value elsewhere."""
+    same, out = np.arange(len(columns[0])) > 0, []
+    for x in columns:
+        before = np.concatenate([x[:1], x[:-1]])
+        out.append(np.where(same, x - before, x))
+        same = same & (x == before)
+    return out
+
+
+def from_steps(*columns: np.ndarray) -> list[np.ndarray]:
+    """The rows that ``steps`` was given."""
+    same, out = np.arange(len(columns[0])) > 0, []
+    for x in columns:
+        total = np.cumsum(x)
+        first = np.flatnonzero(~same)
+        value = total - np.repeat(total[first] - x[first], np.diff(np.append(first, len(x))))
+        out.append(value)
+        same = same & (value == np.concatenate([value[:1], value[:-1]]))
+    return out
+
+
+def smallest_type(*columns: np.ndarray) -> type:
+    return np.uint32 if all(not len(x) or x.max() < 1 << 32 for x in columns) else np.int64
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -203,10 +237,22 @@ class EliasFano:
         return np.where(found, lo, -1)
 
 
-def quantised(p: np.ndarray) -> np.ndarray:
+def scale(*levels: np.ndarray) -> float:
+    """Steps a factor of ten, such that the smallest value above zero of all
+    ``levels`` has a step of its own."""
+    lowest = min((float(p[p > 0].min()) for p in levels if (p > 0).any()), default=1.0)
+    return min(float(PER_DECADE), 253 / max(-np.log10(lowest), 1e-9))
+
+
+def quantised(p: np.ndarray, per_decade: float) -> np.ndarray:
     """One byte a probability, rounded down; 0 for zero."""
     safe = np.where(p > 0, p, 1.0)
-    return np.where(p > 0, 1 + np.minimum(np.ceil(-np.log10(safe) * PER_DECADE - 1e-9), 254), 0).astype(np.uint8)
+    return np.where(p > 0, 1 + np.ceil(-np.log10(safe) * per_decade - 1e-9), 0).astype(np.uint8)
+
+
+def values_of(codes: np.ndarray, per_decade: float) -> np.ndarray:
+    """The probabilities of ``quantised`` bytes."""
+    return np.concatenate([[0.0], 10.0 ** (-np.arange(255) / per_decade)])[codes]
 
 
 def grouped(n: np.ndarray, *keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -230,7 +276,7 @@ class TrieShard:
         size = int.from_bytes(view[:8], "little")
         shape = pickle.loads(view[8:8 + size])
         take = lambda at, n: np.frombuffer(view, np.uint8, n, 8 + size + at)
-        self.universe, self.span = shape["universe"], shape["span"]
+        self.universe, self.span, self.per_decade = shape["universe"], shape["span"], shape["per_decade"]
         self.codes = {k: take(*shape["codes"][k]) for k in shape["codes"]}
         self.seq = {k: EliasFano(take(*s["low"]), take(*s["high"]), s["width"], s["size"]) for k, s in shape["seq"].items()}
         self.next_at = self.seq["next_at"].values().astype(np.int64)
@@ -257,9 +303,11 @@ class TrieShard:
         order = np.argsort(far, kind="stable")
         seqs = {"near": (near, universe), "next": (next_key, universe * max(1, len(near))), "next_at": (next_at, len(next_key) + 1),
                 "pair": (pair, universe * max(1, len(near))), "far": (far[order], span * max(1, len(pair)))}
-        codes = {"near": quantised(d2 * types / np.maximum(total, 1)), "next": quantised((bn - d2) / total[at]),
-                 "pair": quantised(d3 * kinds / np.maximum(pair_total, 1)), "far": quantised(((tn - d3) / pair_total[own])[order])}
-        shape, body, offset = {"universe": universe, "span": span, "seq": {}, "codes": {}}, [], 0
+        levels = {"near": d2 * types / np.maximum(total, 1), "next": (bn - d2) / total[at],
+                  "pair": d3 * kinds / np.maximum(pair_total, 1), "far": ((tn - d3) / pair_total[own])[order]}
+        per_decade = scale(*levels.values())
+        codes = {k: quantised(p, per_decade) for k, p in levels.items()}
+        shape, body, offset = {"universe": universe, "span": span, "per_decade": per_decade, "seq": {}, "codes": {}}, [], 0
 
         def put(x):
             nonlocal offset
@@ -305,33 +353,46 @@ class TrieShard:
 
 # --- trigrams --------------------------------------------------------------------
 
+def distinct_rows(h1: np.ndarray, h2: np.ndarray, w: np.ndarray, bits: int, room: int = 63) -> tuple:
+    """The distinct rows of three numbers below 2 ** bits in order, and of each
+    row its place among them; in two steps where ``room`` bits don't hold
+    three numbers."""
+    mask = (1 << bits) - 1
+    if 3 * bits <= room:
+        key, at = np.unique((h1 << (2 * bits)) | (h2 << bits) | w, return_inverse=True)
+        return key >> (2 * bits), key >> bits & mask, key & mask, at
+    pair, own = np.unique((h1 << bits) | h2, return_inverse=True)
+    key, at = np.unique((own << bits) | w, return_inverse=True)
+    both = pair[key >> bits]
+    return both >> bits, both & mask, key & mask, at
+
+
 class Trigrams:
-    """The distinct trigrams of a block by trie shard, and of each token the
-    number of its trigram."""
+    """The distinct trigrams of a block by trie shard, each shard's in the
+    order of their word numbers, and of each token the number of its trigram."""
 
     def __init__(self, block: dict, number: np.ndarray, count: np.ndarray, shards: int, tokens: int):
-        local, sizes = block["local"].astype(np.int64), block["sizes"]
-        first = np.cumsum(sizes) - sizes
-        none = len(number)      # the start of a text
-        h1 = np.concatenate([[none], local[:-1]])
-        h1[first] = none
-        h2 = np.concatenate([[none], h1[:-1]])
-        h2[first] = none
+        sizes, none = block["sizes"], len(number)      # none: the start of a text, number 0
         number = np.append(number.astype(np.int64), 0)
-        end = np.searchsorted(block["vocab"], END)
-        count = np.append(count, count[end])
+        count = np.append(count, count[np.searchsorted(block["vocab"], END)])
+        by = np.argsort(number)         # words by number: their places stand for them
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        number, count, local = number[by], count[by], place[block["local"]]
+        first = np.cumsum(sizes) - sizes
+        h1 = np.concatenate([[0], local[:-1]])
+        h1[first] = 0
+        h2 = np.concatenate([[0], h1[:-1]])
+        h2[first] = 0
         parts = 1 + 2 * shards * count // max(1, tokens)    # shards a context word is dealt to
-        bits = none.bit_length()
-        key, self.of_token, _ = np.unique((h1 << (2 * bits)) | (h2 << bits) | local, return_inverse=True, return_counts=True)
-        mask = (1 << bits) - 1
-        l1, l2, lw = key >> (2 * bits), key >> bits & mask, key & mask
-        self.word = lw
+        l1, l2, lw, self.of_token = distinct_rows(h1, h2, local, none.bit_length())
+        self.word = by[lw]
         home = mix(number[l1].astype(U)) % U(shards)
         shard = (home + mix(number[l2].astype(U) + U(7)) % np.minimum(parts[l1], shards).astype(U)) % U(shards)
         self.order = np.argsort(shard, kind="stable")
         self.cut = np.searchsorted(shard[self.order], np.arange(shards + 1, dtype=U))
         self.h1, self.h2, self.w = number[l1], number[l2], number[lw]
-        self.n = np.bincount(self.of_token, weights=np.repeat(~block["held"], sizes), minlength=len(key)).astype(np.int64)
+        self.n = np.bincount(self.of_token, weights=np.repeat(~block["held"], sizes), minlength=len(lw)).astype(np.int64)
         # Pairs after the context words that are dealt to several shards go to all of them.
         often = np.flatnonzero((parts[l1] > 1) & (self.n > 0))
         (c1, cw), cn = grouped(self.n[often], l1[often], lw[often])
@@ -348,9 +409,10 @@ class Trigrams:
         for s in range(len(self.cut) - 1):
             o, p = self.order[self.cut[s]:self.cut[s + 1]], slice(self.pair_cut[s], self.pair_cut[s + 1])
             if len(o) or p.start < p.stop:
-                small = np.uint32 if not len(self.w) or max(self.h1.max(), self.w.max(), self.h2.max()) < 1 << 32 else np.int64
-                yield s, _packed(h1=self.h1[o].astype(small), h2=self.h2[o].astype(small), w=self.w[o].astype(small), n=self.n[o].astype(np.uint32),
-                                 p1=self.pairs[0][p].astype(small), pw=self.pairs[1][p].astype(small), pn=self.pairs[2][p].astype(np.uint32))
+                tri, pair = steps(self.h1[o], self.h2[o], self.w[o]), steps(self.pairs[0][p], self.pairs[1][p])
+                small = smallest_type(*tri, *pair)
+                yield s, _packed(h1=tri[0].astype(small), h2=tri[1].astype(small), w=tri[2].astype(small), n=self.n[o].astype(np.uint32),
+                                 p1=pair[0].astype(small), pw=pair[1].astype(small), pn=self.pairs[2][p].astype(np.uint32))
 
 
 def joined_words(block: dict, answers: list, shards: int) -> tuple[np.ndarray, np.ndarray]:
@@ -369,43 +431,51 @@ def received(messages: list[bytes]) -> tuple:
     training trigrams and bigrams among them, which of the bigrams came
     counted, and the number of trigrams of each message."""
     data = [_unpacked(x) for x in messages]
-    h1, h2, w, n = (np.concatenate([d[x].astype(np.int64) for d in data]) for x in ("h1", "h2", "w", "n"))
-    p1, pw, pn = (np.concatenate([d[x].astype(np.int64) for d in data]) for x in ("p1", "pw", "pn"))
+    column = lambda d, *names: [d[x].astype(np.int64) for x in names]
+    h1, h2, w, n = map(np.concatenate, zip(*[(*from_steps(*column(d, "h1", "h2", "w")), *column(d, "n")) for d in data]))
+    p1, pw, pn = map(np.concatenate, zip(*[(*from_steps(*column(d, "p1", "pw")), *column(d, "pn")) for d in data]))
     seen = n > 0
     own = seen & ~np.isin(h1, np.unique(p1))        # words whose pairs all lie here
     bi = tuple(np.concatenate(x) for x in ((p1, h1[own]), (pw, w[own]), (pn, n[own])))
     return (h1, h2, w), (h1[seen], h2[seen], w[seen], n[seen]), bi, np.arange(len(bi[0])) < len(p1), [len(d["w"]) for d in data]
 
 
-def gather_trigrams(messages: DataFrame, shards: int) -> DataFrame:
-    """(shard, blocks, data, ones3, twos3, ones2, twos2): what the blocks sent
-    to each shard, and how many trigrams and bigrams the training rows hold
-    once and twice. A bigram that went to several shards counts in the first."""
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        _, tri, bi, dealt, _ = received(list(frame["data"]))
-        here = ~dealt | (mix(bi[0].astype(U)) % U(shards) == U(int(key[0])))
-        n3, n2 = grouped(tri[3], *tri[:3])[1], grouped(bi[2][here], bi[0][here], bi[1][here])[1]
-        return pd.DataFrame([(int(key[0]), list(frame["block"]), list(frame["data"]), *(int((n == k).sum()) for n in (n3, n2) for k in (1, 2)))],
-                            columns=["shard", "blocks", "data", "ones3", "twos3", "ones2", "twos2"])
+def each_shard(rows):
+    """(shard, blocks, messages) of rows (shard, block, data) in shard order."""
+    for shard, group in itertools.groupby(rows, key=lambda r: r["shard"]):
+        names, messages = zip(*[(r["block"], r["data"]) for r in group])
+        yield shard, names, messages
+        common.release()
+
 
-    return messages.groupBy("shard").applyInPandas(
-        common.trimming_groups(run), "shard int, blocks array<string>, data array<binary>, ones3 long, twos3 long, ones2 long, twos2 long")
+def seen_once_and_twice(sent: RDD, shards: int) -> tuple[int, int, int, int]:
+    """How many trigrams, then bigrams, the training rows hold once and twice.
+    A bigram that went to several shards counts in the first."""
+    def run(rows):
+        for shard, _, messages in each_shard(rows):
+            _, tri, bi, dealt, _ = received(messages)
+            here = ~dealt | (mix(bi[0].astype(U)) % U(shards) == U(shard))
+            n3, n2 = grouped(tri[3], *tri[:3])[1], grouped(bi[2][here], bi[0][here], bi[1][here])[1]
+            yield tuple(int((n == k).sum()) for n in (n3, n2) for k in (1, 2))
 
+    add = lambda a, b: tuple(x + y for x, y in zip(a, b))
+    return sent.mapPartitions(run).treeAggregate((0, 0, 0, 0), add, add)
 
-def answer_trigrams(gathered: DataFrame, d3: float, d2: float) -> DataFrame:
+
+def answer_trigrams(sent: RDD, d3: float, d2: float) -> RDD:
     """(block, shard, data): builds each shard's trie from the training counts
     and looks up what the blocks sent."""
-    def run(batch: pa.RecordBatch):
-        for i in range(batch.num_rows):
-            asked, tri, bi, _, sizes = received(batch.column(2)[i].as_py())
+    def run(rows):
+        for shard, names, messages in each_shard(rows):
+            asked, tri, bi, _, sizes = received(messages)
             with tempfile.TemporaryFile() as file:
                 TrieShard.write(file, tri, bi, d3, d2)
-                codes = TrieShard(file).query(*asked)
-            parts = [_packed(codes=c) for c in np.split(codes, np.cumsum(sizes)[:-1], axis=1)]
-            yield pa.RecordBatch.from_arrays([pa.array(batch.column(1)[i].as_py(), pa.string()), pa.array([batch.column(0)[i].as_py()] * len(parts), pa.int32()),
-                                              pa.array(parts, pa.binary())], ["block", "shard", "data"])
+                trie = TrieShard(file)
+                codes = trie.query(*asked)
+            for name, own in zip(names, np.split(codes, np.cumsum(sizes)[:-1], axis=1)):
+                yield name, shard, _packed(codes=own, per_decade=trie.per_decade)
 
-    return common.map_batches(gathered.select("shard", "blocks", "data"), run, "block string, shard int, data binary")
+    return sent.mapPartitions(run)
 
 
 def discount_of(ones: int, twos: int) -> float:
@@ -439,9 +509,11 @@ def scores(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "t
                                               pa.array([d for _, d in out], pa.binary())], ["shard", "block", "data"])
 
     asked = common.map_batches(known.select("block", "tokens", "words"), ask, "shard int, block string, data binary")
-    gathered = common.materialize(gather_trigrams(asked, shards), "trigrams")
-    seen = gathered.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("ones3", "twos3", "ones2", "twos2")]).first()
-    looked = answer_trigrams(gathered, discount_of(seen["ones3"], seen["twos3"]), discount_of(seen["ones2"], seen["twos2"]))
+    # One RDD for both readings: the second one finds the first one's shuffle files.
+    sent = asked.repartition("shard").sortWithinPartitions("shard").rdd
+    ones3, twos3, ones2, twos2 = seen_once_and_twice(sent, shards)
+    looked = docs.sparkSession.createDataFrame(answer_trigrams(sent, discount_of(ones3, twos3), discount_of(ones2, twos2)),
+                                               "block string, shard int, data binary", verifySchema=False)
     found = looked.groupBy("block").agg(F.collect_list(F.struct("shard", "data")).alias("found"))
 
     def add(batch: pa.RecordBatch):
@@ -449,11 +521,11 @@ def scores(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "t
             block = _unpacked(batch.column(1)[i].as_py())
             number, count = joined_words(block, batch.column(2)[i].as_py(), shards)
             own = Trigrams(block, number, count, shards, total)
-            codes = np.zeros((4, len(own.w)), np.uint8)
+            found = np.zeros((4, len(own.w)))
             for a in batch.column(3)[i].as_py():
-                s = a["shard"]
-                codes[:, own.order[own.cut[s]:own.cut[s + 1]]] = _unpacked(a["data"])["codes"]
-            a3, l3, a2, l2 = LEVELS[codes]
+                s, d = a["shard"], _unpacked(a["data"])
+                found[:, own.order[own.cut[s]:own.cut[s + 1]]] = values_of(d["codes"], d["per_decade"])
+            a3, l3, a2, l2 = found
             c = count[own.word]
             lowest = np.where(c > 0, c - discount, discount * types) / total if total else np.ones(len(c))
             logs = np.log10(a3 + l3 * (a2 + l2 * lowest))[own.of_token]
