@@ -198,7 +198,7 @@ class EliasFano:
         n = len(values)
         width = max(0, (max(1, universe) // max(1, n)).bit_length() - 1)
         values = values.astype(U)
-        bits = (values[:, None] >> np.arange(width, dtype=U)[None, :] & U(1)).astype(np.uint8) if width else np.zeros((n, 0), np.uint8)
+        bits = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(n, 8), axis=1, count=width, bitorder="little") if width else np.zeros((n, 0), np.uint8)
         top = (values >> U(width)).astype(np.int64)
         unary = np.zeros(n + (universe >> width) + 2, np.uint8)
         unary[top + np.arange(n)] = 1
@@ -207,10 +207,12 @@ class EliasFano:
 
     def lows(self, at: np.ndarray) -> np.ndarray:
         bit = at * self.width
-        byte, out = bit >> 3, np.zeros(len(at), U)
-        for i in range((self.width + 14) // 8):
-            out |= self.low[byte + i].astype(U) << U(8 * i)
-        return (out >> (bit & 7).astype(U)) & U((1 << self.width) - 1)
+        byte, shift = bit >> 3, (bit & 7).astype(U)
+        # Eight bytes from each byte on, and the ninth where a value may reach into it.
+        out = np.ndarray(len(self.low) - 8, "<u8", self.low, strides=(1,))[byte] >> shift
+        if self.width > 57:
+            out |= np.where(shift > 0, self.low[byte + 8].astype(U) << ((U(64) - shift) & U(63)), U(0))
+        return out & U((1 << self.width) - 1)
 
     def values(self) -> np.ndarray:
         top = np.repeat(np.arange(len(self.until)), np.diff(np.concatenate([[0], self.until])))[:self.size]
@@ -218,7 +220,9 @@ class EliasFano:
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """The place of each wanted value, -1 where there is none: the bucket
-        of its high bits, then successor search among the low bits."""
+        of its high bits, then successor search among the low bits. Each is
+        looked up once, in order, which keeps the reads close together."""
+        wanted, own = np.unique(wanted, return_inverse=True)
         top = (wanted >> U(self.width)).astype(np.int64)
         ok = top < len(self.until)
         top = np.where(ok, top, 0)
@@ -234,7 +238,7 @@ class EliasFano:
             open_ = open_[lo[open_] < hi[open_]]
         found = lo < end
         found[found] = self.lows(lo[found]) == rest[found]
-        return np.where(found, lo, -1)
+        return np.where(found, lo, -1)[own]
 
 
 def scale(*levels: np.ndarray) -> float:
@@ -256,13 +260,29 @@ def values_of(codes: np.ndarray, per_decade: float) -> np.ndarray:
 
 
 def grouped(n: np.ndarray, *keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct key rows in order, and the sums of ``n``."""
-    order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
-    first = np.flatnonzero(new)
-    return [k[order][first] for k in keys], (np.add.reduceat(n[order], first) if len(first) else n[:0])
+    """Distinct key rows in order, and the sums of ``n``. Columns are joined
+    to one number; where two don't fit 63 bits, their ranks are."""
+    if not len(n):
+        return list(keys), n
+    key = keys[0].astype(np.int64)
+    for k in keys[1:]:
+        k = k.astype(np.int64)
+        if int(key.max()).bit_length() + int(k.max()).bit_length() > 63:
+            key = np.unique(key, return_inverse=True)[1]
+        if int(key.max()).bit_length() + int(k.max()).bit_length() > 63:
+            k = np.unique(k, return_inverse=True)[1]
+        key = (key << int(k.max()).bit_length()) | k
+    order = np.argsort(key)
+    sorted_ = key[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    return [k[order[first]] for k in keys], np.add.reduceat(n[order], first)
+
+
+def runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal rows begin, and of each row the number of its run."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+    return np.flatnonzero(new), np.cumsum(new) - 1
 
 
 class TrieShard:
@@ -329,17 +349,19 @@ class TrieShard:
         where the context is unknown."""
         out = np.zeros((4, len(w)), np.uint8)
         out[1] = out[3] = 1
-        n1 = self.seq["near"].find(h1.astype(U))
+        first, own = runs(h1)       # messages come in order: a context is looked up once a run
+        n1 = self.seq["near"].find(h1[first].astype(U))[own]
         has = np.flatnonzero(n1 >= 0)
         out[3, has] = self.codes["near"][n1[has]]
-        base = n1[has].astype(U) * U(self.universe)
 
-        def below(level, word):     # words beyond the universe are in no level
+        def below(level, at, word):     # words beyond the universe are in no level
             inside = word < self.universe
-            found = self.seq[level].find(base + np.where(inside, word, 0).astype(U))
+            found = self.seq[level].find(at.astype(U) * U(self.universe) + np.where(inside, word, 0).astype(U))
             return np.where(inside, found, -1)
 
-        child, pair = below("next", w[has]), below("pair", h2[has])
+        child = below("next", n1[has], w[has])
+        first, own = runs(n1[has], h2[has])
+        pair = below("pair", n1[has][first], h2[has][first])[own]
         out[2, has[child >= 0]] = self.codes["next"][child[child >= 0]]
         out[1, has[pair >= 0]] = self.codes["pair"][pair[pair >= 0]]
         both = np.flatnonzero((pair >= 0) & (child >= 0))
