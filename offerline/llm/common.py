@@ -10,7 +10,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -112,6 +112,47 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(trimming(run), schema)
 
 
+def first_ids(ids: DataFrame, n: int, seed: str) -> DataFrame:
+    """(g, id, h) of the ``n`` distinct ids of smallest hash in each group g
+    of ``ids`` (g, id). Counts by the hash's upper 16 bits tell how far up
+    these reach, so that only they and the rest of one 65,536th are ranked."""
+    rows = ids.distinct().select("g", "id", F.xxhash64(F.lit(seed), "id").alias("h")).withColumn("b", F.shiftright("h", 48))
+    before = F.sum("n").over(Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
+    reached = (rows.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < n).select("g", "b"))
+    rank = F.row_number().over(Window.partitionBy("g").orderBy("h", "id"))
+    return rows.join(F.broadcast(reached), ["g", "b"]).withColumn("r", rank).filter(F.col("r") <= n).select("g", "id", "h")
+
+
+def sample_texts(docs: DataFrame, ids: DataFrame, n: int, seed: str, max_bytes: int | None = None, by_group: bool = False) -> DataFrame:
+    """(g, r, id, t): a sample of at most ``n`` distinct rows of each group,
+    the first ones by (hash of the id, id, hash of the text), numbered from 1;
+    with ``max_bytes`` as many as start within so many bytes of text.
+
+    ``ids`` (g, id) has the ids to choose from and their groups, all of them
+    ids of ``docs`` (id, t, and g where ``by_group``: then a row is of its own
+    group only). Rows are chosen, not ids: an id on many rows brings no more
+    than ``n``, copies of a row count once. Null ids are an id like others.
+    The same rows give the same sample in every run."""
+    chosen = first_ids(ids, n, seed).select(F.col("g").alias("cg"), F.col("id").alias("cid"), "h")
+    own = F.col("id").eqNullSafe(F.col("cid"))
+    if by_group:
+        own = own & (F.col("g") == F.col("cg"))
+    rows = docs.select("id", "t", *["g"] * by_group).join(F.broadcast(chosen), own)      # at most n rows a group broadcast
+    narrow = rows.select("cg", "h", "id", F.xxhash64("t").alias("x"), F.octet_length("t").cast("long").alias("n")).distinct()
+    order = Window.partitionBy("cg").orderBy("h", "id", "x")
+    picks = narrow.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= n)
+    if max_bytes is not None:
+        past = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        picks = picks.withColumn("past", F.coalesce(past, F.lit(0))).filter(F.col("past") < max_bytes)
+    picks = picks.select("cg", F.col("id").alias("cid"), F.col("x").alias("cx"), "r")
+    own = own & (F.xxhash64("t") == F.col("cx"))
+    if by_group:
+        own = own & (F.col("g") == F.col("cg"))
+    return (docs.select("id", "t", *["g"] * by_group).join(F.broadcast(picks), own)
+            .groupBy(F.col("cg").alias("g"), "r").agg(F.min("id").alias("id"), F.min("t").alias("t")))
+
+
 def slices(lengths, limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges whose lengths sum to at most ``limit`` (one item at
     least), so that working arrays stay bounded."""

@@ -14,8 +14,10 @@ only on itself and the bytes before it, so each distinct n-gram is looked up
 once and a text's code length is a sum of table entries.
 
 Rows: null texts and texts without a letter are ``und`` with score 0; ties
-go to the first language in name order; without any training row every text
-is ``und``.
+go to the first language in name order; rows equal in id, language and text
+count once in the sample, an id on many rows brings no more than the sample's
+bound, rows without an id are learned from like others; without any training
+row every text is ``und``.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerline.llm import common
@@ -142,18 +144,11 @@ class Coder:
 def train(docs: DataFrame, trainable, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = DOCS_PER_LANGUAGE, max_bytes: int = BYTES_PER_LANGUAGE) -> dict:
     """{language: (n-gram codes, counts)} from at most ``per_language`` whole
-    documents of each language, those of the smallest id hash: as many of them
-    as start within ``max_bytes``."""
-    rank = Window.partitionBy("lang").orderBy("h", "id", "x")
-    before = rank.rowsBetween(Window.unboundedPreceding, -1)    # of the chosen rows, per_language at most
-    rows = docs.filter(trainable).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    h = F.xxhash64(F.lit("language"), F.col(id_col))
-    chosen = (rows.select(F.col(lang_col).alias("lang"), h.alias("h"), F.col(id_col).alias("id"),
-                          F.xxhash64(text_col).alias("x"), F.octet_length(text_col).cast("long").alias("n"))
-              .withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= per_language)
-              .withColumn("past", F.sum("n").over(before)).filter(F.coalesce("past", F.lit(0)) < max_bytes).select("id").distinct())
-    texts = (rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
-             .join(F.broadcast(chosen), "id").select("lang", "t"))
+    distinct documents of each language, those of the smallest id hash: as
+    many of them as start within ``max_bytes``."""
+    rows = docs.filter(trainable).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).alias("g"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    texts = common.sample_texts(rows, rows.select("g", "id"), per_language, "language", max_bytes, by_group=True).select(F.col("g").alias("lang"), "t")
 
     def run(batch: pa.RecordBatch):
         langs = np.array(batch.column(0).to_pylist(), object)

@@ -11,14 +11,16 @@ the similarity.
 
 Rows: a null or empty text has no vector and gets the mean label of the
 sample; equal similarities at the edge of the neighbourhood are taken in
-sample order; without any labelled row every score is 0.5.
+sample order; rows equal in id and text count once in the sample, an id on
+many rows brings no more than the sample's bound, one of several labels is
+its smallest; without any labelled row every score is 0.5.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerline.llm import common
@@ -94,23 +96,23 @@ class Space:
 
 def fit(docs: DataFrame, labels: DataFrame, learnable, per_class: int = PER_CLASS, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "quality") -> Space | None:
-    """The space of at most ``per_class`` labelled documents of each label,
-    those of the smallest id hash."""
+    """The space of at most ``per_class`` distinct labelled documents of each
+    label, those of the smallest id hash."""
     marked = (labels.filter(learnable).filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label_col).cast("int").alias("y"))
-              .filter(F.col("y").isin(0, 1)))
-    known = marked.join(docs.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
-    rank = Window.partitionBy("y").orderBy(F.xxhash64(F.lit("quality"), "id"), "id")
-    chosen = known.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= per_class).select("id", "y")
-    sample = docs.select(F.col(id_col).cast("long").alias("id"), common.text_of(text_col).alias("t")).join(F.broadcast(chosen), "id")
+              .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label_col).cast("int").alias("g"))
+              .filter(F.col("g").isin(0, 1)))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), common.text_of(text_col).alias("t"))
+    known = common.materialize(marked.join(texts.select("id").distinct(), "id", "left_semi").select("g", "id"), "labelled")
+    sample = common.sample_texts(texts, known, per_class, "quality").select("id", "t", F.col("g").alias("y"), "r")
 
     def run(batch: pa.RecordBatch):
         for a in range(0, batch.num_rows, 64):
             part = batch.slice(a, 64)
             weights = term_weights(part.column(1).to_pylist()).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([w.tobytes() for w in weights], pa.binary())], ["id", "y", "w"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), pa.array([w.tobytes() for w in weights], pa.binary())],
+                                             ["id", "y", "r", "w"])
 
-    rows = common.map_batches(sample.select("id", "t", "y"), run, "id long, y int, w binary").dropDuplicates(["id"]).orderBy("id").toArrow()
+    rows = common.map_batches(sample, run, "id long, y int, r int, w binary").orderBy("id", "r").toArrow()
     if not rows.num_rows:
         return None
     weights = np.frombuffer(b"".join(rows["w"].to_pylist()), np.float16).reshape(-1, TERMS).astype(np.float32)

@@ -8,15 +8,16 @@ back, keeps it if it is precise there, sets the covered rows aside and goes
 on. The list becomes one ordered ``CASE WHEN`` expression.
 
 Rows: a null or empty text has no words and every count zero; null labels and
-labels without a document are not learned from; without labels the list is
-empty and keeps what the base rules keep.
+labels without a document are not learned from; rows equal in id and text
+count once in the sample, an id on many rows brings no more than the sample's
+bound; without labels the list is empty and keeps what the base rules keep.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerline.llm import common
@@ -71,15 +72,15 @@ def base_failed() -> Column:
 
 def labelled(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, id_col: str = "doc_id",
              text_col: str = "text", label_col: str = "quality") -> list:
-    """[(values of FEATURES, drop, prune)] of a bounded labelled sample, the
-    documents of the smallest id hash in each class."""
+    """[(values of FEATURES, drop, prune)] of a bounded labelled sample, at
+    most ``per_class`` distinct documents of each class, those of the smallest
+    id hash."""
     marked = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id"))
-              .agg(F.min(label_col).alias("y")))
-    known = marked.join(docs.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
-    rank = Window.partitionBy("y").orderBy(F.xxhash64(F.lit("rules"), "id"), "id")
-    chosen = known.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= per_class).select("id", "y", "r")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "id")
-    found = statistics(rows, "t").select("y", "r", base_failed().alias("failed"), *[f"stats.{f}" for f in FEATURES]).collect()
+              .agg(F.min(label_col).alias("g")))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), common.text_of(text_col).alias("t"))
+    known = common.materialize(marked.join(rows.select("id").distinct(), "id", "left_semi").select("g", "id"), "labelled")
+    sample = common.sample_texts(rows, known, per_class, "rules").withColumnRenamed("g", "y")
+    found = statistics(sample, "t").select("y", "r", base_failed().alias("failed"), *[f"stats.{f}" for f in FEATURES]).collect()
     return [(tuple(float(r[f]) for f in FEATURES), r["y"] == 0, r["r"] % 3 == 0)
             for r in sorted(found, key=lambda r: (r["y"], r["r"])) if not r["failed"]]
 
