@@ -149,6 +149,7 @@ def train(docs: DataFrame, trainable, id_col: str = "doc_id", text_col: str = "t
     rows = docs.filter(trainable).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("g"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     texts = common.sample_texts(rows, rows.select("g", "id"), per_language, "language", max_bytes, by_group=True).select(F.col("g").alias("lang"), "t")
+    texts = texts.repartition("lang")       # at most max_bytes and a text of each, so that n-grams are counted once a language
 
     def run(batch: pa.RecordBatch):
         langs = np.array(batch.column(0).to_pylist(), object)
