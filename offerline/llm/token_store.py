@@ -9,7 +9,7 @@ its first id, its token count and the tokens before it. Reading metadata
 touches no token page; reading a range of ids touches its pages only.
 
 Rows: a null or empty text holds the end id alone; repeated ids are ordered
-by text and kept; an empty table gives empty files.
+by their texts' first 32 characters, then by hash, and kept; an empty table gives empty files.
 """
 
 from __future__ import annotations
@@ -55,8 +55,13 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
                 ["doc_id", "part", "part_start", "n_tokens", "ids"])
             start += int(ends[-1])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_of(text_col).alias("t"))
-    return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "t").mapInArrow(common.trimming(run), SCHEMA)
+    text = common.text_of(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("t"), F.left(text, F.lit(32)).alias("lead"),
+                       F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("row"))
+    # An id on many rows is cut by its texts, equal texts by their place in the input.
+    order = ["doc_id", "lead", "h", "row"]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return dealt.select("doc_id", "t").mapInArrow(common.trimming(run), SCHEMA)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
