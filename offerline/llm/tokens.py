@@ -25,10 +25,11 @@ LETTERS, MARKS = "A-Za-zß-öø-ÿ", "!-&(-/:-@\\[-`{-~"
 CUT = re.compile(f"(?<=[{LETTERS}])(?=[{MARKS}])|(?<=[{MARKS}])(?=[A-Za-z])")
 # A run of Latin letters, with the blank before it or not: one piece for the model.
 PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 # The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for U+0100 on.
 VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 ALPHABET = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in VISIBLE)}
-MEMO_WORDS, MEMO_PIECES = 330_000, 200_000      # kept by a worker; beyond it starts anew, which costs time only
+MEMO_WORDS, MEMO_PIECES = 330_000, 200_000      # kept by a worker; beyond it those used once are forgotten, which costs time only
 TEXT_AT_ONCE = 4 << 20
 ENCODE_AT_ONCE = 20_000
 
@@ -61,25 +62,42 @@ class Encoder:
         return out
 
     def pieces(self, pieces: list[str]) -> list[list[int]]:
-        """The ids of each piece. Runs of Latin letters go to the library's
-        model directly, as its pre-tokenizer would hand them over."""
+        """The ids of each piece."""
         plain = [p for p in pieces if PLAIN.fullmatch(p)] if self.keeps_blank is not None else []
         own = set(plain)
         other = [p for p in pieces if p not in own]
         found = dict(zip(other, (e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False))))
+        found.update(zip(plain, self.letters(plain)))
+        return [found[p] for p in pieces]
+
+    def letters(self, plain: list[str]) -> list[list[int]]:
+        """The ids of runs of Latin letters, which go to the library's model
+        directly, as its pre-tokenizer would hand them over."""
         shown = plain if self.keeps_blank else [p.lstrip(" ") for p in plain]
         if self.between is not None and plain:
             shown = self.normalizer.normalize_str(self.between.join(shown)).split(self.between)
         elif self.normalizer is not None:
             shown = [self.normalizer.normalize_str(p) for p in shown]
         tokenize = self.model.tokenize
-        for p, x in zip(plain, shown):
-            x = x.replace(" ", "Ġ") if x.isascii() else x.encode().decode("latin-1").translate(ALPHABET)
-            found[p] = [t.id for t in tokenize(x)]
-        return [found[p] for p in pieces]
+        return [[t.id for t in tokenize(x.replace(" ", "Ġ") if x.isascii() else x.encode().decode("latin-1").translate(ALPHABET))]
+                for x in shown]
 
     def learn(self, words: list) -> None:
-        """Keep the ids of new words; a tuple holds a text's first word, which
+        """Keep the ids of new words: those of Latin letters alone are pieces."""
+        plain, other = [], words
+        if self.keeps_blank is not None:
+            plain = [w for w in words if isinstance(w, str) and PLAIN_WORD(w)]
+            own = set(plain)
+            other = [w for w in words if w not in own]
+        for i in range(0, len(plain), ENCODE_AT_ONCE):
+            part = plain[i:i + ENCODE_AT_ONCE]
+            ids = self.letters([" " + w for w in part])
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.words_known.add(part, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
+        self.cut_words(other)
+
+    def cut_words(self, words: list) -> None:
+        """Keep the ids of new words, cut into pieces; a tuple holds a text's first word, which
         has no blank before it. Words that do not stand for themselves are
         marked."""
         cuts, bad = [], []
@@ -117,9 +135,9 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.words_known.index) > MEMO_WORDS:
-            self.words_known = Memo()
+            self.words_known = self.words_known.often(MEMO_WORDS // 2)
         if len(self.pieces_known.index) > MEMO_PIECES:
-            self.pieces_known = Memo()
+            self.pieces_known = self.pieces_known.often(MEMO_PIECES // 2)
         words, counts = [], []
         for t in texts:
             first, *rest = t.split(" ")
@@ -150,13 +168,14 @@ class Memo:
         self.index: dict = {}
         self.size, self.start = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.bad = np.zeros(1 << 16, bool)
+        self.uses = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
     def add(self, keys: list, ids: np.ndarray, sizes: np.ndarray, bad=False) -> None:
         n, end = len(self.index), len(self.index) + len(keys)
         while end > len(self.size):
-            self.size, self.start, self.bad = (np.concatenate([x, np.zeros_like(x)]) for x in (self.size, self.start, self.bad))
+            self.size, self.start, self.bad, self.uses = (np.concatenate([x, np.zeros_like(x)]) for x in (self.size, self.start, self.bad, self.uses))
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.size[n:end] = sizes
@@ -169,8 +188,19 @@ class Memo:
     def take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the keys one after another, and how many each has."""
         sizes = self.size[codes]
+        if len(codes):
+            used = np.bincount(codes)
+            self.uses[:len(used)] += used
         return self.ids[_ranges(self.start[codes], sizes)], sizes
 
+    def often(self, most: int) -> Memo:
+        """A memo of the keys used more than once, none if over ``most``."""
+        out, keep = Memo(), self.uses[:len(self.index)] > 1
+        if 0 < int(keep.sum()) <= most:
+            sizes, bad = self.size[:len(keep)][keep], self.bad[:len(keep)][keep]
+            out.add(list(itertools.compress(self.index, keep.tolist())), self.ids[_ranges(self.start[:len(keep)][keep], sizes)], sizes, bad)
+        return out
+
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of all ranges [start, start + size), one after another."""
