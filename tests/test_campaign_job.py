@@ -171,6 +171,19 @@ def test_equal_digests_are_compared(spark, monkeypatch):
     assert rows_of(distinct_campaign(same).select("x", "10")) == rows_of(df.dropDuplicates())
 
 
+def test_rows_alone_are_not_shuffled(spark, tmpdir_fresh):
+    spark.range(20_000).select((F.col("id") % 19_000).cast("string").alias("x"), F.lit("1").alias("10")).write.parquet(f"{tmpdir_fresh}/rows")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60000")
+    try:
+        once = distinct_campaign(with_digest(spark.read.parquet(f"{tmpdir_fresh}/rows")))
+        plan = once._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert once.count() == 19_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_planned_message_files(spark, tmpdir_fresh):
     load = spark.range(1000).select((F.col("id") % 50).alias("VALOR_DO_REGISTRO"), F.lit("t").alias("CORINGA5"), (F.col("id") % 2 + 1).alias("n_offers"))
     write_message_loads(load, f"{tmpdir_fresh}/x", rows_per_file=100)
