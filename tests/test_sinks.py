@@ -104,3 +104,19 @@ def test_csv_landed_inputs_read_with_schema(spark, tmpdir_fresh):
     expected = _campaign(spark)
     assert campaign.select(S.SALE_DATE).distinct().count() == expected.select(S.SALE_DATE).distinct().count()
     assert campaign.exceptAll(expected).count() == 0
+
+
+def test_csv_landing_lands_compressed_files(spark):
+    import glob
+    import os
+
+    from offerline.plans.queries import QUERIES
+    from offerline.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(glob.glob(f"{root}/landing-*"))
+    QUERIES["csv_landing"](spark, "/root/testdata/sf0.001")
+    (landed,) = set(glob.glob(f"{root}/landing-*")) - before
+    files = [f for f in glob.glob(f"{landed}/*.csv/part-*")]
+    assert files and all(f.endswith(".csv.gz") and os.path.getsize(f) for f in files)
