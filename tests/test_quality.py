@@ -41,6 +41,22 @@ def test_key_multiplicity(spark):
     assert [tuple(r) for r in key_multiplicity(df, "k").collect()] == [(1, 2)]
 
 
+def test_charset_pattern_asks_ascii_first(spark):
+    from offerline.operators.quality import NOT_CP1252
+
+    def held(c):
+        try:
+            return chr(c).encode("cp1252") is not None and not 0x80 <= c < 0xA0
+        except UnicodeEncodeError:
+            return False
+
+    codes = [c for c in (*range(0x3000), 0xFFFD, 0x1F600, 0x10FFFF)]
+    rows = spark.createDataFrame([(c, f"a{chr(c)}b") for c in codes], "c int, t string")
+    lost = {r.c for r in rows.filter(F.col("t").rlike(NOT_CP1252)).collect()}
+    assert lost == {c for c in codes if not held(c)}
+    assert NOT_CP1252.startswith("[[^\\x{0000}-\\x{007F}]&&")
+
+
 def test_encoding_loss(spark):
     df = spark.createDataFrame([("Preço",), ("€ 5",), ("数",)], "t string")
     assert encoding_loss(df, ["t"]).first().t == 1
