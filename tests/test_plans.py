@@ -63,3 +63,20 @@ def test_every_rank_window_limits_before_its_shuffle(spark, name):
     assert windows > 0
     # one partial limit under the exchange and one final limit per window
     assert plan.count("WindowGroupLimit") == 2 * windows
+
+
+def test_campaign_shuffles_stay_small(spark):
+    from offerline.session import CAMPAIGN_CONF, apply_job_conf
+
+    before = {k: spark.conf.get(k, None) for k in CAMPAIGN_CONF}
+    try:
+        apply_job_conf(spark)
+        assert {k: spark.conf.get(k) for k in CAMPAIGN_CONF} == CAMPAIGN_CONF
+        wide = spark.range(4_000_000, numPartitions=8).selectExpr("id", "uuid() AS a", "uuid() AS b").repartition("id")
+        wide.write.format("noop").mode("overwrite").save()
+        assert wide.rdd.getNumPartitions() > 8      # the session's shuffles have 8 partitions
+        apply_job_conf(spark, campaign=False)
+        assert all(spark.conf.get(k, None) != v for k, v in CAMPAIGN_CONF.items())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
