@@ -94,7 +94,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDO
     def run(batch: pa.RecordBatch):
         rows: list[tuple] = []
         held = 0
-        for key, ids in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode([x.as_py() for x in batch.column(1)])):
+        for key, ids in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode_column(batch.column(1))):
             data = np.append(ids, np.uint32(end_id)).astype("<u4").tobytes()
             n = len(data) // 4
             rows += [(key, at, min(window, n - at), n, data[4 * at:4 * (at + window)]) for at in range(0, n, window)]

@@ -14,14 +14,17 @@ by their texts' first 32 characters, then by hash, and kept; an empty table give
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerline.llm import common
-from offerline.llm.tokens import crc, encoder
+from offerline.llm.tokens import TEXT_AT_ONCE, crc, encoder
 
 WRITER = {
     "compression": "zstd",
@@ -41,19 +44,20 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
     """(doc_id, part, part_start, n_tokens, ids) in id order within each part."""
     def run(batches):
         part, start = TaskContext.get().partitionId(), 0
+        end = np.array([end_id], np.uint32)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            end = np.array([end_id], np.uint32)
-            rows = [np.concatenate([ids, end]) for ids in encoder(tokenizer).encode([x.as_py() for x in batch.column(1)])]
-            sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-            ends = np.cumsum(sizes)
-            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                                           pa.array(np.concatenate(rows).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(rows), part, np.int32)), pa.array(start + ends - sizes), pa.array(sizes), ids],
-                ["doc_id", "part", "part_start", "n_tokens", "ids"])
-            start += int(ends[-1])
+            coded = encoder(tokenizer).encode_column(batch.column(1))
+            # Some rows at once: their ids are copied together.
+            for a, b in common.slices(pc.binary_length(batch.column(1)).to_pylist(), TEXT_AT_ONCE):
+                rows = [np.concatenate([ids, end]) for ids in itertools.islice(coded, b - a)]
+                sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+                ends = np.cumsum(sizes)
+                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
+                                               pa.array(np.concatenate(rows).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(np.full(len(rows), part, np.int32)), pa.array(start + ends - sizes), pa.array(sizes), ids],
+                    ["doc_id", "part", "part_start", "n_tokens", "ids"])
+                start += int(ends[-1])
 
     text = common.text_of(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("t"), F.left(text, F.lit(32)).alias("lead"),

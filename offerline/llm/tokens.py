@@ -16,10 +16,15 @@ import itertools
 import os
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from offerline.llm.common import slices
+
 # Between a Latin letter and ASCII punctuation (no apostrophe), either way.
 LETTERS, MARKS = "A-Za-zß-öø-ÿ", "!-&(-/:-@\\[-`{-~"
 CUT = re.compile(f"(?<=[{LETTERS}])(?=[{MARKS}])|(?<=[{MARKS}])(?=[A-Za-z])")
@@ -30,7 +35,7 @@ PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 ALPHABET = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in VISIBLE)}
 MEMO_WORDS, MEMO_PIECES = 330_000, 200_000      # kept by a worker; beyond it those used once are forgotten, which costs time only
-TEXT_AT_ONCE = 4 << 20
+TEXT_AT_ONCE = 1 << 20      # the working arrays of a call are many times its texts
 ENCODE_AT_ONCE = 20_000
 
 
@@ -125,13 +130,13 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
-        out, start, total = [], 0, 0
-        for i, t in enumerate(texts):
-            if i > start and total + len(t) > TEXT_AT_ONCE:
-                out += self._encode(texts[start:i])
-                start, total = i, 0
-            total += len(t)
-        return out + (self._encode(texts[start:]) if start < len(texts) else [])
+        return [ids for a, b in slices([len(t) for t in texts], TEXT_AT_ONCE) for ids in self._encode(texts[a:b])]
+
+    def encode_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """uint32 ids of each text. A column of any size: only some texts are
+        held as Python strings at once, and only their ids."""
+        for a, b in slices(pc.binary_length(texts).to_pylist(), TEXT_AT_ONCE):
+            yield from self._encode(texts.slice(a, b - a).to_pylist())
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.words_known.index) > MEMO_WORDS:

@@ -31,3 +31,27 @@ def test_encoder_equals_the_library(name, monkeypatch):
     assert [x.tolist() for x in encoder.encode(texts)] == want
     rnd.shuffle(both := list(zip(texts, want)))
     assert [x.tolist() for x in encoder.encode([t for t, _ in both])] == [w for _, w in both]
+
+
+def test_a_column_is_encoded_some_texts_at_once(monkeypatch):
+    """The pipeline's last stage ran out of an executor's memory: a whole
+    batch stood as strings and ids before its first row was given out."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from offerline.llm import tokens
+
+    if not os.path.exists(public_tokenizers.path(PATHS[0])):
+        pytest.skip("no tokenizer")
+    monkeypatch.setattr(tokens, "TEXT_AT_ONCE", 100)
+    encoder = tokens.Encoder(public_tokenizers.path(PATHS[0]))
+    texts = ["", "x" * 60, "é " * 30, "a b " * 100, "", "y"] * 10
+    want, sizes, encode = encoder.encode(texts), [], encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda part: sizes.append(sum(map(len, part))) or encode(part))
+    ids = encoder.encode_column(pa.array(["other", *texts]).slice(1))
+    got = [next(ids)]
+    assert len(sizes) == 1
+    got += ids
+    assert max(sizes) == 400 and all(n <= 100 or n == 400 for n in sizes)     # a longer text alone
+    assert [x.tolist() for x in got] == [x.tolist() for x in want]
+    assert list(encoder.encode_column(pa.array([], pa.string()))) == []
