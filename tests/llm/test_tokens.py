@@ -55,3 +55,69 @@ def test_a_column_is_encoded_some_texts_at_once(monkeypatch):
     assert max(sizes) == 400 and all(n <= 100 or n == 400 for n in sizes)     # a longer text alone
     assert [x.tolist() for x in got] == [x.tolist() for x in want]
     assert list(encoder.encode_column(pa.array([], pa.string()))) == []
+
+
+@pytest.mark.parametrize("name", PATHS)
+def test_words_at_the_length_of_a_row(name):
+    """Words just as long as a row of the array of words, longer ones, ones
+    that differ in NUL characters only, and marks behind any of them."""
+    import public_tokenizers
+
+    from offerline.llm import tokens
+
+    if not os.path.exists(public_tokenizers.path(name)):
+        pytest.skip("no tokenizer")
+    rnd = random.Random(3)
+    words = [x * n + y for x in ("a", "é", "Ab", "ÿ") for n in range(1, 30) for y in ("", "É", ".", "...", "_-", "'s", "\0", "\0\0", "x.y", "É!", "\n")]
+    words += ["".join(rnd.choices("abcdeé", k=rnd.randint(1, 26))) + rnd.choice(["", ",", "!?"]) for _ in range(20_000)]
+    texts = [" ".join(rnd.sample([w for w in words if nul or "\0" not in w], 200)) for nul in [True, False, False, False] * 50]
+    encoder = tokens.Encoder(public_tokenizers.path(name))
+    want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.encode(texts)] == want
+    assert [x.tolist() for x in encoder.encode(texts[::-1])] == want[::-1]
+    assert encoder.encode([]) == []
+
+
+def test_a_known_word_takes_few_bytes():
+    """Every word stood as a Python string in a dict, 200 bytes and more each:
+    two workers kept some hundred MB of an executor's memory."""
+    import tracemalloc
+
+    import public_tokenizers
+
+    from offerline.llm import tokens
+
+    if not os.path.exists(public_tokenizers.path(PATHS[0])):
+        pytest.skip("no tokenizer")
+    rnd = random.Random(5)
+    words = list({"".join(rnd.choices("abcdefghij", k=10)) for _ in range(150_000)})
+    texts = [" ".join(words[i:i + 1000]) for i in range(0, len(words), 1000)]
+    encoder = tokens.Encoder(public_tokenizers.path(PATHS[0]))
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        for text in texts:
+            encoder.encode([text])
+        kept = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    assert kept < 130 * len(words)
+
+
+def test_the_most_used_words_are_kept(monkeypatch):
+    """All words were forgotten once more than half of the limit were in use
+    more than once."""
+    import public_tokenizers
+
+    from offerline.llm import tokens
+
+    if not os.path.exists(public_tokenizers.path(PATHS[0])):
+        pytest.skip("no tokenizer")
+    monkeypatch.setattr(tokens, "MEMO_WORDS", 40)
+    encoder = tokens.Encoder(public_tokenizers.path(PATHS[0]))
+    rare, often = [f"rare{chr(97 + i)}{chr(97 + j)}" for i in range(5) for j in range(10)], ["most", "used"]
+    encoder.encode([" ".join(["x", *(rare + often * 3) * 2])])
+    learned, letters = [], encoder.letters
+    monkeypatch.setattr(encoder, "letters", lambda plain: learned.extend(plain) or letters(plain))
+    encoder.encode(["x most used"])
+    assert learned == []
