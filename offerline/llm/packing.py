@@ -85,6 +85,7 @@ def plan(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
 BATCH_TOKENS = 1 << 20      # ids of one batch of pieces
+BATCH_ROWS = 2_000      # whole texts handed to a Python worker at once: they stand in the JVM and in the worker
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW,
@@ -118,7 +119,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW,
          group: int = GROUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces with their ids, sequence_id and offset."""
     cut = pieces(docs, tokenizer, end_id, window, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    rows = common.materialize(cut, "pieces")
+    with common.batch_rows(docs.sparkSession, BATCH_ROWS):
+        rows = common.materialize(cut, "pieces")
     full = rows.filter(F.col("length") == window).withColumns({"sequence_id": F.col("row") * 2, "offset": F.lit(0).cast("long")})
     rest = rows.filter(F.col("length") < window)
     groups = max(1, -(-rest.count() // group))

@@ -44,7 +44,7 @@ SHOWN = "".join(ALPHABET.get(b, chr(b)) for b in range(256))    # what the model
 JOINT = "\xc0"      # stands for a byte that UTF-8 never has
 WORDS_AT_ONCE = 32      # joined for one call of the model
 KEY_BYTES = 24      # words of up to so many bytes are found in an array, longer ones in a dict
-MEMO_WORDS, MEMO_PIECES = 1_000_000, 100_000    # kept by a worker; beyond it those used least are forgotten, which costs time only
+MEMO_WORDS, MEMO_PIECES = 800_000, 100_000    # kept by a worker; beyond it those used least are forgotten, which costs time only
 TEXT_AT_ONCE = 1 << 20      # the working arrays of a call are many times its texts
 ENCODE_AT_ONCE = 20_000
 

@@ -654,3 +654,23 @@ def test_op2_batches_spread_over_shards(spark, sf):
     messages = suffix_dedup.anchor_messages(texts.repartition(64), 16, 50)
     shards = [r["n"] for r in messages.groupBy("shard").agg(F.sum(F.length("data")).alias("n")).collect()]
     assert len(shards) == 16 and max(shards) <= 2 * sum(shards) / len(shards)
+
+
+def test_packing_hands_few_texts_to_a_worker_at_once(spark, monkeypatch):
+    """10,000 whole texts stood in the JVM and in the worker for each task: the
+    pipeline's last stage ran out of an executor's memory."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+
+    from pyspark.sql import functions as F
+
+    from offerline.llm import common, packing
+
+    common.ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, store = spark.conf.get(key), [], common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, label: seen.append((label, int(spark.conf.get(key)))) or store(df, label))
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    got = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    assert seen == [("pieces", packing.BATCH_ROWS)] and packing.BATCH_ROWS < int(before)
+    assert spark.conf.get(key) == before
+    assert got.select("doc_id").distinct().count() == 5000
